@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from talkmill.llm import dialogues, residue, tokens
+from talkmill.llm import canonical, dialogues, residue, tokens
 
 
 def queries() -> dict:
     return {
         "p1_found": dialogues.p1_found,
         "p1_dialogues": dialogues.p1_dialogues,
+        "p5_found": canonical.p5_found,
+        "p5_values": canonical.p5_values,
         "p7_ids": tokens.p7_ids,
         "p9_found": residue.p9_found,
     }
