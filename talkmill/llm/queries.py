@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from talkmill.llm import canonical, dialogues, residue, tokens
+from talkmill.llm import canonical, dialogues, names, residue, tokens
 
 
 def queries() -> dict:
@@ -11,6 +11,8 @@ def queries() -> dict:
         "p1_dialogues": dialogues.p1_dialogues,
         "p5_found": canonical.p5_found,
         "p5_values": canonical.p5_values,
+        "p6_found": names.p6_found,
+        "p6_entities": names.p6_entities,
         "p7_ids": tokens.p7_ids,
         "p9_found": residue.p9_found,
     }
