@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from talkmill.llm import canonical, dialogues, names, residue, tokens
+from talkmill.llm import canonical, dialogues, names, pii, residue, tokens
 
 
 def queries() -> dict:
     return {
         "p1_found": dialogues.p1_found,
         "p1_dialogues": dialogues.p1_dialogues,
+        "p3_found": pii.p3_found,
+        "p3_redacted": pii.p3_redacted,
         "p5_found": canonical.p5_found,
         "p5_values": canonical.p5_values,
         "p6_found": names.p6_found,
