@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from talkmill.llm import canonical, dialogues, names, pii, residue, tokens
+from talkmill.llm import canonical, dialogues, mixing, names, pii, residue, tokens
 
 
 def queries() -> dict:
@@ -16,6 +16,8 @@ def queries() -> dict:
         "p6_found": names.p6_found,
         "p6_entities": names.p6_entities,
         "p7_ids": tokens.p7_ids,
+        "p8_mix": mixing.p8_mix,
+        "p8_report": mixing.p8_report,
         "p9_found": residue.p9_found,
     }
 
