@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from talkmill.operators import delivery, features
+from talkmill.plans import gold_queries, silver_queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +17,10 @@ def queries() -> dict[str, Query]:
         "p2_features": features.p2_features,
         "p4_found": delivery.p4_found,
         "p4_unique": delivery.p4_unique,
+        **silver_queries.QUERIES,
+        **gold_queries.QUERIES,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**features.SQL, **delivery.SQL}
+    return {**features.SQL, **delivery.SQL, **silver_queries.SQL, **gold_queries.SQL}
