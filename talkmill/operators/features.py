@@ -163,7 +163,8 @@ totals AS (SELECT lead_id, count(conversation_outcome) AS total_n,
            FROM own GROUP BY lead_id),
 wide AS (PIVOT (SELECT p.lead_id, b.conversation_outcome, b.timestamp, (SELECT max(timestamp) FROM bronze) AS latest
            FROM (SELECT DISTINCT lead_id, conversation_id, message_id FROM silver WHERE lead_id IS NOT NULL) p
-           LEFT JOIN bronze b USING (conversation_id, message_id)) ON conversation_outcome
+           LEFT JOIN bronze b USING (conversation_id, message_id)
+           UNION ALL SELECT NULL, conversation_outcome, NULL, NULL FROM bronze WHERE conversation_outcome IS NOT NULL) ON conversation_outcome
          USING count(*) AS n, min(date_sub('second', timestamp, latest)) AS recency_s GROUP BY lead_id)
 SELECT totals.*, wide.* EXCLUDE (lead_id) FROM totals JOIN wide USING (lead_id)""",
 }

@@ -209,3 +209,43 @@ SQL = {
     "phrase_hits": f"SELECT DISTINCT conversation_id, message_id, batch_id, {_hits(text.OBJECTIONS)} AS objections, {_hits(text.HAGGLING)} AS haggling, {_hits(text.CLOSING)} AS closing, {_hits(text.EVASIVE)} AS evasive, {_hits(text.TECHNICAL)} AS technical FROM (SELECT *, lower(strip_accents(coalesce(message_body, ''))) AS x FROM bronze)",
     "score_cube": "WITH c AS (SELECT a.x AS c0, b.x AS c1, c.x AS c2, d.x AS c3 FROM (VALUES (0.0::DOUBLE), (0.5), (1.0)) a(x), (VALUES (0.0::DOUBLE), (0.5), (1.0)) b(x), (VALUES (0.0::DOUBLE), (0.5), (1.0)) c(x), (VALUES (0.0::DOUBLE), (0.5), (1.0)) d(x)) SELECT *, round_even(c0 * 40 + c1 * 35 + c2 * 20 + c3 * 5, 0)::INT AS score FROM c",
 }
+
+
+# Manifest and model-lane queries ---------------------------------------------------------------------------------
+def batch_pending(spark, d):
+    from talkmill.sources.batches import pending
+
+    sources = _bronze(spark, d).select("batch_id").where("batch_id IS NOT NULL").distinct()
+    done = table(spark, d, "batches").select("batch_id", F.when(F.col("source_mtime") % 3 == 0, "FAILED").otherwise(F.col("status")).alias("status"))
+    return pending(sources, done)
+
+
+def manifest_latest_run(spark, d):
+    """The latest run of each batch by start, then id."""
+    runs = table(spark, d, "batches").select(F.substring("batch_id", 1, 1).alias("family"), "batch_id", F.col("started_at").cast("timestamp_ntz").alias("started_at"))
+    return runs.groupBy("family").agg(F.max_by("batch_id", F.struct("started_at", "batch_id")).alias("batch_id"), F.max("started_at").alias("started_at"))
+
+
+def model_cache_key(spark, d):
+    from talkmill.operators.model_lane import cache_key
+
+    texts = _bronze(spark, d).select("message_body").where("message_body IS NOT NULL").distinct()
+    return texts.select("message_body", cache_key("m1", "system", F.col("message_body"), 256, -0.0).alias("key"))
+
+
+def model_pending(spark, d):
+    from talkmill.operators.model_lane import cache_key, within_budget
+
+    texts = model_cache_key(spark, d)
+    cached = texts.where("key < '8'").select("key")
+    return within_budget(texts.join(cached, "key", "left_anti").select("key"), "key", 10**9).groupBy("in_budget").agg(F.count(F.lit(1)).alias("n"))
+
+
+QUERIES |= {f.__name__: f for f in (batch_pending, manifest_latest_run, model_cache_key, model_pending)}
+_KEY = "sha256('model=m1' || chr(10) || 'system=system' || chr(10) || 'user=' || message_body || chr(10) || 'max_tokens=256' || chr(10) || 'temperature=0.000000')"
+SQL |= {
+    "batch_pending": "SELECT DISTINCT batch_id FROM bronze WHERE batch_id IS NOT NULL AND batch_id NOT IN (SELECT batch_id FROM batches WHERE CASE WHEN source_mtime % 3 = 0 THEN 'FAILED' ELSE status END = 'COMPLETED')",
+    "manifest_latest_run": "SELECT family, batch_id, started_at FROM (SELECT substr(batch_id, 1, 1) AS family, batch_id, started_at AT TIME ZONE 'UTC' AS started_at FROM batches) QUALIFY row_number() OVER (PARTITION BY family ORDER BY started_at DESC, batch_id DESC) = 1",
+    "model_cache_key": f"SELECT DISTINCT message_body, {_KEY} AS key FROM bronze WHERE message_body IS NOT NULL",
+    "model_pending": f"SELECT true AS in_budget, count(*) AS n FROM (SELECT DISTINCT {_KEY} AS key FROM bronze WHERE message_body IS NOT NULL) WHERE key >= '8'",
+}
