@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -30,19 +31,54 @@ def distance(a: str, b: str, most: int = 2) -> int:
         a, b = a[:-1], b[:-1]
     if not a or not b:
         return min(len(a) + len(b), most + 1)
+    far = most + 1
     before: list[int] = []
-    row = list(range(len(b) + 1))
+    row = [min(j, far) for j in range(len(b) + 1)]
     for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            d = min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y))
+        new = [far] * (len(b) + 1)  # only a band of 2 * most + 1 cells can be near
+        new[0] = min(i, far)
+        low, high = max(1, i - most), min(len(b), i + most)
+        best = new[0]
+        for j in range(low, high + 1):
+            y = b[j - 1]
+            d = min(row[j] + 1, new[j - 1] + 1, row[j - 1] + (x != y))
             if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
                 d = min(d, before[j - 2] + 1)
-            new.append(d)
-        if min(new) > most:
-            return most + 1
+            new[j] = min(d, far)
+            best = min(best, d)
+        if best > most:
+            return far
         before, row = row, new
-    return min(row[-1], most + 1)
+    return row[-1]
+
+
+#: Longer words are found by unchanged segments instead of deletions, whose number grows with the square of the length.
+LONG = 40
+
+
+def _cuts(n: int, parts: int) -> list[tuple[int, int]]:
+    """Borders of `parts` nearly equal segments of a word of n letters."""
+    return [(n * i // parts, n * (i + 1) // parts) for i in range(parts)]
+
+
+def _key(n: int, i: int, segment: str) -> str:
+    return f"#{n}.{i}.{hashlib.blake2b(segment.encode(), digest_size=12).hexdigest()}"
+
+
+def index_keys(word: str, depth: int) -> set[str]:
+    """Keys under which a word is kept: its deletions, or its 2 * depth + 1 segments if it's long (one of them survives `depth` edits; a swap counts as two)."""
+    if len(word) <= LONG:
+        return deletes(word, reach(len(word), depth))
+    return {_key(len(word), i, word[a:b]) for i, (a, b) in enumerate(_cuts(len(word), 2 * depth + 1))}
+
+
+def probe_keys(word: str, depth: int) -> set[str]:
+    """Keys under which all words within `depth` edits of a word are kept."""
+    keys = deletes(word, reach(len(word), depth)) if len(word) <= LONG + depth else set()
+    for n in range(max(LONG + 1, len(word) - depth), len(word) + depth + 1):
+        for i, (a, b) in enumerate(_cuts(n, 2 * depth + 1)):
+            keys |= {_key(n, i, word[s : s + b - a]) for s in range(max(0, a - depth), min(len(word) - (b - a), a + depth) + 1)}
+    return keys
 
 
 def reach(n: int, depth: int = 2) -> int:
@@ -63,10 +99,13 @@ def close_pairs(left: DataFrame, right: DataFrame, group: str | None = None, dep
     """
     both = [group] if group else []
 
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(*r, k) for r in b.itertuples(index=False, name=None) for k in deletes(r[-1], reach(len(r[-1]), depth))]
-            yield pd.DataFrame(rows, columns=[*both, "word", "key"])
+    def spread(keys):
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                rows = [(*r, k) for r in b.itertuples(index=False, name=None) for k in keys(r[-1], depth)]
+                yield pd.DataFrame(rows, columns=[*both, "word", "key"])
+
+        return run
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -76,8 +115,8 @@ def close_pairs(left: DataFrame, right: DataFrame, group: str | None = None, dep
 
     head = f"{group} string, " if group else ""
 
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.select(*both, "word").distinct().mapInPandas(spread, f"{head}word string, key string")
+    def keyed(df: DataFrame, keys) -> DataFrame:
+        return df.select(*both, "word").distinct().mapInPandas(spread(keys), f"{head}word string, key string")
 
-    pairs = keyed(left).withColumnRenamed("word", "a").join(keyed(right).withColumnRenamed("word", "b"), [*both, "key"]).select(*both, "a", "b").distinct()
+    pairs = keyed(left, index_keys).withColumnRenamed("word", "a").join(keyed(right, probe_keys).withColumnRenamed("word", "b"), [*both, "key"]).select(*both, "a", "b").distinct()
     return pairs.mapInPandas(measure, f"{head}a string, b string, d int")
