@@ -183,11 +183,11 @@ def ghosting(silver: DataFrame) -> DataFrame:
     """Leads without any outcome by number of messages; rate over all leads (the null lead counts as one); empty buckets too."""
     leads = silver.groupBy("lead_id").agg(F.count(F.lit(1)).alias("n"), F.count("conversation_outcome").alias("known"))
     bucket = F.when(F.col("n") <= 2, "1-2").when(F.col("n") <= 4, "3-4").when(F.col("n") <= 9, "5-9").otherwise("10+")
-    counts = leads.where("known = 0").groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n_leads"))
-    spark = silver.sparkSession
-    every = spark.createDataFrame([(b,) for b in GHOSTING_BUCKETS], "bucket string")
-    total = leads.agg(F.count(F.lit(1)).alias("total"))
-    return every.join(counts, "bucket", "left").crossJoin(F.broadcast(total)).select("bucket", F.coalesce("n_leads", F.lit(0)).alias("count"), F.coalesce(F.try_divide(F.coalesce("n_leads", F.lit(0)), F.col("total")), F.lit(0.0)).alias("rate"))
+    counts = leads.groupBy(bucket.alias("bucket")).agg(F.count_if(F.col("known") == 0).alias("n_leads"), F.count(F.lit(1)).alias("n_all"))
+    every = silver.sparkSession.createDataFrame([(b,) for b in GHOSTING_BUCKETS], "bucket string")
+    total = F.sum("n_all").over(Window.partitionBy(F.lit(1)))  # over the four buckets
+    share = F.coalesce(F.try_divide(F.coalesce("n_leads", F.lit(0)), total), F.lit(0.0))
+    return every.join(counts, "bucket", "left").select("bucket", F.coalesce("n_leads", F.lit(0)).alias("count"), share.alias("rate"))
 
 
 def objections(silver: DataFrame, phrases: tuple[str, ...] = text.OBJECTIONS, body: str = "message_body_masked") -> DataFrame:
@@ -222,6 +222,7 @@ def label_outcomes(silver: DataFrame, labels: DataFrame, label: str = "persona")
 
 def top_surprise(matrix: DataFrame) -> DataFrame:
     """The label whose closed rate is furthest from the overall one (first by name on ties), at most one row."""
-    overall = matrix.agg((F.sum(F.when(F.col("outcome") == CLOSED, F.col("count")).otherwise(0)) / F.sum("count")).alias("overall"))
-    shift = matrix.where(F.col("outcome") == CLOSED).crossJoin(F.broadcast(overall)).withColumn("delta", F.round(F.col("rate") - F.col("overall"), 9))
+    cells = Window.partitionBy(F.lit(1))  # over the matrix: a row per label and outcome
+    overall = F.sum(F.when(F.col("outcome") == CLOSED, F.col("count")).otherwise(0)).over(cells) / F.sum("count").over(cells)
+    shift = matrix.withColumn("overall", overall).where(F.col("outcome") == CLOSED).withColumn("delta", F.round(F.col("rate") - F.col("overall"), 9))
     return shift.orderBy(F.abs("delta").desc(), "label").limit(1).select("label", "outcome", "rate", "delta")
