@@ -46,12 +46,13 @@ def budgets(docs: DataFrame, targets: DataFrame, total_tokens: float | None = No
     want = targets.where("source IS NOT NULL").groupBy("source").agg(F.sum(F.greatest("target_share", F.lit(0.0))).alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     both = want.join(have, "source", "full").select("source", F.coalesce("target_share", F.lit(0.0)).alias("target_share"), F.greatest(F.coalesce("max_repeats", F.lit(0)), F.lit(0)).alias("max_repeats"), F.coalesce("available", F.lit(0)).alias("available"), F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
     most = F.when((F.col("target_share") > 0) & (F.col("available") > 0) & (F.col("max_repeats") > 0), F.col("max_repeats") * F.col("available") / F.col("target_share"))
-    limit = both.agg(F.min(most).alias("limit"))
+    both = written(both, "mix-sources")
+    limit = both.agg(F.min(most)).first()[0] or 0.0  # one number
+    wanted = min(limit, float(total_tokens)) if total_tokens is not None else limit
     usable = F.when((F.col("available") > 0) & (F.col("max_repeats") > 0), F.col("target_share")).otherwise(0.0)
-    wanted = F.least(F.coalesce("limit", F.lit(0.0)), F.lit(float(total_tokens))) if total_tokens is not None else F.coalesce("limit", F.lit(0.0))
-    budget = usable * wanted
+    budget = usable * F.lit(wanted)
     epochs = F.when(F.col("available") > 0, F.least(F.floor(budget / F.col("available") + 1e-9), F.col("max_repeats"))).otherwise(0).cast("long")
-    done = both.crossJoin(F.broadcast(limit)).select(*both.columns, budget.alias("budget"), epochs.alias("epochs"))  # one row
+    done = both.select(*both.columns, budget.alias("budget"), epochs.alias("epochs"))
     return done.withColumn("rest", F.when(F.col("epochs") < F.col("max_repeats"), F.greatest(F.col("budget") - F.col("epochs") * F.col("available"), F.lit(0.0))).otherwise(0.0))
 
 
@@ -81,9 +82,8 @@ def mix(documents: DataFrame, targets: DataFrame, total_tokens: float | None = N
     mixed = edge.unionByName(others).select("doc_id", "source", "n_tokens", (F.col("epochs") + F.col("more")).cast("long").alias("copies")).where("copies > 0")
     mixed = written(mixed, "mixture")
     used = mixed.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("copies")).alias("tokens"), F.count(F.lit(1)).alias("n_used"))
-    total = used.agg(F.sum("tokens").alias("total"))
-    totals = plan.join(used, "source", "left").crossJoin(F.broadcast(total))  # one row
-    report = totals.select("source", "target_share", F.coalesce(F.col("tokens") / F.col("total"), F.lit(0.0)).alias("share"), F.coalesce("tokens", F.lit(0)).alias("tokens"), "n_docs", F.coalesce("n_used", F.lit(0)).alias("n_used"), "epochs", "max_repeats")
+    total = used.agg(F.sum("tokens")).first()[0] or 1  # one number
+    report = plan.join(used, "source", "left").select("source", "target_share", F.coalesce(F.col("tokens") / F.lit(total), F.lit(0.0)).alias("share"), F.coalesce("tokens", F.lit(0)).alias("tokens"), "n_docs", F.coalesce("n_used", F.lit(0)).alias("n_used"), "epochs", "max_repeats")
     return mixed, report
 
 
