@@ -55,7 +55,8 @@ FILLER = re.compile(
     r"lorem|ipsum|dolor sit|consectetur|\b(?:asdf|qwer|zxcv|hjkl|foo|bar|baz|blah?)\b|\b(x{3,}|a{4,}|b{4,}|c{4,})\b|texto (?:de|para) (?:exemplo|relleno|preench\w*|teste)|sample text|placeholder|dummy|texto texto|conteudo (?:provisorio|de teste)|paragrafo de teste|\btest(?:e|es|ing|ando)? test(?:e|es|ing|ando)?\b|\d+ testando"
     r"|(?:sub)?titulo aqui|(?:coloque|insira|escreva|digite)\b.{0,20}(?:aqui|conteudo|texto|descricao)|\ba definir\b|\btbd\b|em construcao|under construction|rascunho vazio|substituir este|todo:? redigir|your text here"
 )
-CHROME = re.compile(r"^(?:(?:menu|entrar|ajuda|inicio|home|login|sair|contato|busca|sobre|faq|help|search|about|contact)\b[ |>·•]*){2,}|(?:[a-z]{2,20}(?: [a-z]{2,20})? \| ){2,}|^(?:[\w ]{2,20}(?: ?[|>·•]| {2,})){1,8} ?[\w ]{2,24}$|todos os direitos reservados|all rights reserved|politica de privacidade|privacy policy|termos de uso|terms of (?:use|service)|fale conosco|contact us|voltar ao inicio|back to (?:home|top)|\bnginx\b|\bapache\b|^(?:ref|codigo de referencia|id da requisicao|request id|incidente|incident|trace id)\b|fale com o suporte|se o problema continuar|copyright|\(c\) ?\d{4}")
+CHROME = re.compile(r"^(?:(?:menu|entrar|ajuda|inicio|home|login|sair|contato|busca|sobre|faq|help|search|about|contact)\b[ |>·•]*){2,}|^(?:ref|codigo de referencia|id da requisicao|request id|incidente|incident|trace id)\b|todos os direitos reservados|all rights reserved|politica de privacidade|privacy policy|termos de uso|terms of (?:use|service)|fale conosco|contact us|voltar ao inicio|back to (?:home|top)|\bnginx\b|\bapache\b|fale com o suporte|se o problema continuar|copyright|\(c\) ?\d{4}")
+TRAIL = re.compile(r"(?:[a-z]{2,20}(?: [a-z]{2,20})? \| ){2,}|^(?:[\w ]{2,20} ?[|>·•]){1,8} ?[\w ]{2,24}$")
 #: Terms of a person's report. A unit with one of them tells of something and is content.
 TOLD = frozenset(
     "eu ele ela eles elas minha meu nosso nossa disse falou avisou contou leu li reclamou mandou pediu pedimos tentei tentou ativei ativou liguei ligou consegui conseguiu cliente lead segurado segurada vizinho vizinha cunhado cunhada familia atendente corretor corretora vistoriador gerente supervisora motorista condutor oficina equipe dono quem anotou abriu funcionou resolveu caiu mas embora"
@@ -66,9 +67,11 @@ SHORT = 9
 #: A machine's messages set in one line may be this many words long.
 LONG = 80
 #: Machines that are named after people.
-_MACHINE = re.compile(r"\b(?:portal|site|pagina|sistema|aplicativo|app|area|page|system|server|sitio) (?:d[oae]s?|del|for|of) \w+")
+MACHINES = frozenset("portal site pagina sistema aplicativo app area page system server sitio".split())
+_MACHINE = re.compile(rf"\b(?:{'|'.join(sorted(MACHINES))}) (?:d[oae]s?|del|for|of) \w+")
 _SPLIT = re.compile(r"\n+|(?<=[.!?…])\s+|\s+[-–]\s+")
 _LEAD = re.compile(r"^(?:[\s<>\-–*•|.]+|\[[a-z]{2,12}\]|(?:corretora|cliente|agente|lead|agent|client|atendente):)+\s*")
+_THREE = re.compile(r"[a-z0-9][^a-z0-9]*[a-z0-9][^a-z0-9]*[a-z0-9]")
 _WORD = re.compile(r"[a-z]+")
 _HEX = re.compile(r"\b(?=[a-f]*\d)[0-9a-f]{6,}\b")
 
@@ -82,23 +85,28 @@ def units(text: str) -> list[str]:
     """Trimmed lines and sentences of a folded text without speaker marks; none for blank texts."""
     out = []
     for u in _SPLIT.split(text):
-        u = " ".join(_LEAD.sub("", u).split())
-        if len(re.sub(r"[^a-z0-9]", "", u)) > 2:
+        lead = _LEAD.match(u)
+        u = " ".join((u[lead.end() :] if lead else u).split())
+        if _THREE.search(u):
             out.append(u)
     return out
 
 
 def judge(u: str) -> str:
     """'r' for a response, 'c' for content, 'f' for page furniture, '?' if the unit alone doesn't tell."""
-    words = _WORD.findall(_MACHINE.sub(" ", u))
+    words = _WORD.findall(u)
     if not TOLD.isdisjoint(words):
-        return "c"
-    if CHROME.search(u):
-        return "f"
-    if FILLER.search(u):
-        return "r" if all(len(p.split()) <= 5 for p in re.split("[,;.!?]", u)) else "c"
+        if MACHINES.isdisjoint(words):
+            return "c"
+        words = _WORD.findall(_MACHINE.sub(" ", u))
+        if not TOLD.isdisjoint(words):
+            return "c"
     if len(words) <= LONG and (ERROR.search(u) or SCRIPT.search(u)):
         return "r"
+    if FILLER.search(u):
+        return "r" if all(len(p.split()) <= 5 for p in re.split("[,;.!?]", u)) else "c"
+    if CHROME.search(u) or (("|" in u or ">" in u or "·" in u) and TRAIL.search(u)):
+        return "f"
     return "c" if len(words) > SHORT else "?"
 
 
