@@ -151,7 +151,18 @@ def p2_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return entity_features(bronze, silver, "lead_id", ("conversation_id", "message_id"), "conversation_outcome", "timestamp")
 
 
+def p2_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The filled cells of the wide table in long form: lead_id, type, n, recency_s."""
+    wide = p2_features(spark, sf_dir)
+    types = [c[:-2] for c in wide.columns[5:] if c.endswith("_n")]
+    cells = F.explode(F.array(*[F.struct(F.lit(t).alias("type"), F.col(f"`{t}_n`").alias("n"), F.col(f"`{t}_recency_s`").alias("recency_s")) for t in types]))
+    return wide.select("lead_id", cells.alias("c")).select("lead_id", "c.*").where("n > 0")
+
+
 SQL = {
+    "p2_cells": """SELECT lead_id, conversation_outcome AS type, count(*) AS n, date_sub('second', max(timestamp), (SELECT max(timestamp) FROM bronze)) AS recency_s
+FROM (SELECT DISTINCT lead_id, conversation_id, message_id FROM silver WHERE lead_id IS NOT NULL) JOIN bronze USING (conversation_id, message_id)
+WHERE conversation_outcome IS NOT NULL GROUP BY lead_id, conversation_outcome""",
     "p2_features": """
 WITH pairs AS (SELECT DISTINCT lead_id, conversation_id, message_id FROM silver WHERE lead_id IS NOT NULL),
 anchor AS (SELECT max(timestamp) AS latest FROM bronze),
