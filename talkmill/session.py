@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import os
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -18,17 +20,22 @@ SETTINGS = {
 }
 
 
+def importable(spark: SparkSession) -> SparkSession:
+    """Lets Python workers on this machine (or a shared disk) import the package from where the driver has it."""
+    here, env = str(Path(__file__).parents[1]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, here])
+    return spark
+
+
 def local_session(cores: int | str = 8, partitions: int | None = None, app: str = "talkmill") -> SparkSession:
     """A session for tests and the bench; on a cluster the caller brings its own."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in SETTINGS.items():
         b = b.config(k, v)
-    return (
-        b.config("spark.sql.shuffle.partitions", str(partitions or cores))
-        .config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g")
-        .getOrCreate()
-    )
+    b = b.config("spark.sql.shuffle.partitions", str(partitions or cores)).config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+    return importable(b.getOrCreate())
 
 
 def shared_root(spark: SparkSession) -> str:
