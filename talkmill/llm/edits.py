@@ -115,8 +115,12 @@ def close_pairs(left: DataFrame, right: DataFrame, group: str | None = None, dep
 
     head = f"{group} string, " if group else ""
 
+    spark = left.sparkSession
+    # few bytes but much work per word: spread by number of tasks, not by size
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
     def keyed(df: DataFrame, keys) -> DataFrame:
-        return df.select(*both, "word").distinct().mapInPandas(spread(keys), f"{head}word string, key string")
+        return df.select(*both, "word").distinct().repartition(tasks, "word").mapInPandas(spread(keys), f"{head}word string, key string")
 
     pairs = keyed(left, index_keys).withColumnRenamed("word", "a").join(keyed(right, probe_keys).withColumnRenamed("word", "b"), [*both, "key"]).select(*both, "a", "b").distinct()
     return pairs.mapInPandas(measure, f"{head}a string, b string, d int")
