@@ -55,6 +55,11 @@ FILLER = re.compile(
     r"lorem|ipsum|dolor sit|consectetur|\b(?:asdf|qwer|zxcv|hjkl|foo|bar|baz|blah?)\b|\b(x{3,}|a{4,}|b{4,}|c{4,})\b|texto (?:de|para) (?:exemplo|relleno|preench\w*|teste)|sample text|placeholder|dummy|texto texto|conteudo (?:provisorio|de teste)|paragrafo de teste|\btest(?:e|es|ing|ando)? test(?:e|es|ing|ando)?\b|\d+ testando"
     r"|(?:sub)?titulo aqui|(?:coloque|insira|escreva|digite)\b.{0,20}(?:aqui|conteudo|texto|descricao)|\ba definir\b|\btbd\b|em construcao|under construction|rascunho vazio|substituir este|todo:? redigir|your text here"
 )
+#: Words of the placeholder Latin that its further sentences are made of. Those of the second set are
+#: words of other languages too: they count, but don't tell filler by themselves.
+LATIN = frozenset("lorem ipsum amet consectetur consectetuer adipiscing elit eiusmod tempor incididunt ut labore et dolore aliqua enim veniam nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt deserunt mollit anim laborum vestibulum pellentesque curabitur suspendisse vivamus maecenas praesent phasellus aliquam faucibus tincidunt sagittis ultrices ultricies scelerisque sollicitudin ullamcorper vulputate dapibus tristique lobortis malesuada bibendum condimentum fermentum hendrerit imperdiet interdum lacinia mauris nullam quisque rhoncus semper sodales varius viverra volutpat".split())
+LATIN_SHARED = frozenset("dolor sit sed do magna ad minim quis ex ea in non qui culpa officia id est ac at vel a eu et ut nec nisi esse sint enim velit semper tempor labore anim varius nulla".split())
+_OWN_LATIN = LATIN - LATIN_SHARED
 CHROME = re.compile(r"^(?:(?:menu|entrar|ajuda|inicio|home|login|sair|contato|busca|sobre|faq|help|search|about|contact)\b[ |>·•]*){2,}|^(?:ref|codigo de referencia|id da requisicao|request id|incidente|incident|trace id)\b|todos os direitos reservados|all rights reserved|politica de privacidade|privacy policy|termos de uso|terms of (?:use|service)|fale conosco|contact us|voltar ao inicio|back to (?:home|top)|\bnginx\b|\bapache\b|fale com o suporte|se o problema continuar|copyright|\(c\) ?\d{4}")
 TRAIL = re.compile(r"(?:[a-z]{2,20}(?: [a-z]{2,20})? \| ){2,}|^(?:[\w ]{2,20} ?[|>·•]){1,8} ?[\w ]{2,24}$")
 #: Terms of a person's report. A unit with one of them tells of something and is content.
@@ -64,8 +69,8 @@ TOLD = frozenset(
 )
 #: Longer units than this many words without evidence are content.
 SHORT = 9
-#: A machine's messages set in one line may be this many words long.
-LONG = 80
+#: A unit is a machine's message if at least this share of its words stands in such terms, and filler at this one.
+ERROR_SHARE, FILLER_SHARE = 1 / 80, 0.5
 #: Machines that are named after people.
 MACHINES = frozenset("portal site pagina sistema aplicativo app area page system server sitio".split())
 _MACHINE = re.compile(rf"\b(?:{'|'.join(sorted(MACHINES))}) (?:d[oae]s?|del|for|of) \w+")
@@ -73,6 +78,7 @@ _SPLIT = re.compile(r"\n+|(?<=[.!?…])\s+|\s+[-–]\s+")
 _LEAD = re.compile(r"^(?:[\s<>\-–*•|.]+|\[[a-z]{2,12}\]|(?:corretora|cliente|agente|lead|agent|client|atendente):)+\s*")
 _THREE = re.compile(r"[a-z0-9][^a-z0-9]*[a-z0-9][^a-z0-9]*[a-z0-9]")
 _WORD = re.compile(r"[a-z]+")
+_LETTERS_OR_MARKS = re.compile(r"[a-z\0]+")
 _HEX = re.compile(r"\b(?=[a-f]*\d)[0-9a-f]{6,}\b")
 
 
@@ -92,19 +98,30 @@ def units(text: str) -> list[str]:
     return out
 
 
+def covered(u: str, *terms: re.Pattern[str], among: frozenset[str] = frozenset()) -> float:
+    """Share of a unit's words that stand, wholly or in part, in a match of `terms` or are `among` the given ones; 1 if a unit without letters matches."""
+    marked = u
+    for t in terms:
+        marked = t.sub(lambda m: re.sub("[a-z]", "\0", m[0]), marked)
+    words = _LETTERS_OR_MARKS.findall(marked)
+    return sum("\0" in w or w in among for w in words) / len(words) if words else 1.0
+
+
 def judge(u: str) -> str:
     """'r' for a response, 'c' for content, 'f' for page furniture, '?' if the unit alone doesn't tell."""
     words = _WORD.findall(u)
-    if not TOLD.isdisjoint(words):
+    latin = frozenset() if _OWN_LATIN.isdisjoint(words) else LATIN | LATIN_SHARED
+    told = TOLD - latin if latin else TOLD
+    if not told.isdisjoint(words):
         if MACHINES.isdisjoint(words):
             return "c"
         words = _WORD.findall(_MACHINE.sub(" ", u))
-        if not TOLD.isdisjoint(words):
+        if not told.isdisjoint(words):
             return "c"
-    if len(words) <= LONG and (ERROR.search(u) or SCRIPT.search(u)):
+    if (ERROR.search(u) or SCRIPT.search(u)) and covered(u, ERROR, SCRIPT) >= ERROR_SHARE:
+        return "r"
+    if (latin or FILLER.search(u)) and covered(u, FILLER, ERROR, SCRIPT, CHROME, among=latin) >= FILLER_SHARE:
         return "r"
-    if FILLER.search(u):
-        return "r" if all(len(p.split()) <= 5 for p in re.split("[,;.!?]", u)) else "c"
     if CHROME.search(u) or (("|" in u or ">" in u or "·" in u) and TRAIL.search(u)):
         return "f"
     return "c" if len(words) > SHORT else "?"

@@ -40,3 +40,9 @@ def test_repeated_null_and_empty(spark):
     assert r.residue(df).where("is_case").count() == 3
     assert r.without_residue(df.unionByName(spark.createDataFrame([(2, "A oficina resolveu.")], df.schema))).count() == 1
     assert r.residue(df.where("false")).count() == 0
+
+
+def test_filler_and_messages_of_any_length_without_punctuation(spark):
+    bad = ["Lorem ipsum a definir rascunho vazio", "sample text título aqui a definir substituir este trecho 123 testando rascunho vazio", "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua. Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat. Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.", "erro 500 falha interna tente novamente mais tarde " * 40, "lorem ipsum " * 100_000]
+    fine = ["O anúncio mostrava lorem ipsum no lugar do preço e do nome da seguradora", "A franquia do plano cobre vidros faróis e retrovisores " * 30 + "quando o navegador fecha", "El dolor de espalda es culpa del choque y no sed de dinero", "Do ponto de vista da apólice, a culpa é sem efeito"]
+    assert found(spark, bad + fine) == set(range(len(bad)))
