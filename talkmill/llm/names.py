@@ -6,8 +6,9 @@ candidates, and each candidate pair is decided by an optimal assignment of its t
 abbreviations, nicknames, left-out tokens and tokens run together. Spellings linked by certain pairs form an
 entity; a spelling whose head is only an initial or an ambiguous nickname joins an entity if exactly one fits.
 
-Tokens that occur in many spellings aren't blocking keys of their own: spellings that share only those are found by
-pairs of tokens, and short spellings by head and token, so no group of a frequent name is paired with itself.
+Tokens that occur in many spellings aren't blocking keys of their own: a spelling with a token close to such a one is
+keyed by it with the head's meaning and a second token or initial, or by head and token alone if it has no second
+one, so no group of a frequent name is paired with itself.
 """
 
 from __future__ import annotations
@@ -181,6 +182,15 @@ def _glued(ha: str, fa: tuple[str, ...], hb: str, fb: tuple[str, ...]) -> bool:
     return any(_assign(joined, (), (hb + f, *fb[:i], *fb[i + 1 :]), ()) for i, f in enumerate(fb)) and any(t.startswith(hb) for t in joined)
 
 
+def _roles(head: str, stands: tuple[str, ...]) -> tuple[list[str], list[str]]:
+    """Keys of a head as the first and as the second of a pair: two heads that may be the same share one, as meaning
+    or, where one of them is an initial, as letter; two whole heads never meet by their letter."""
+    letters = sorted({head[0], *(s[0] for s in stands)})
+    if not stands:
+        return [f"l:{head}", f"i:{head}"], [f"m:{head}", f"i:{head}"]
+    return [*(f"s:{s}" for s in stands), *(f"m:{x}" for x in letters)], [*(f"s:{s}" for s in stands), *(f"l:{x}" for x in letters)]
+
+
 def _parsed(names: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -193,10 +203,39 @@ def _parsed(names: DataFrame) -> DataFrame:
                 ordered = [head, *family] if len(head) > 1 else list(family)
                 glued = sorted({x + y for x in ordered for y in ordered if x != y})
                 heads = sorted({*stands, head[0], *(h[0] for h in stands)})
-                rows.append((name, len(stands) != 1, heads, tokens, glued, len(family) + len(initials)))
-            yield pd.DataFrame(rows, columns=["name", "uncertain", "heads", "tokens", "glued", "n"])
+                places = [(i, t, sorted({x[0] for x in (*family[:i], *family[i + 1 :], *initials)})) for i, t in enumerate(family)]
+                rows.append((name, len(stands) != 1, heads, tokens, glued, len(family) + len(initials), *_roles(head, stands), places, sorted(set(initials))))
+            yield pd.DataFrame(rows, columns=["name", "uncertain", "heads", "tokens", "glued", "n", "first", "second", "places", "initials"])
+
+    return names.mapInPandas(run, "name string, uncertain boolean, heads array<string>, tokens array<string>, glued array<string>, n int, first array<string>, second array<string>, places array<struct<i: int, token: string, others: array<string>>>, initials array<string>")
+
 
-    return names.mapInPandas(run, "name string, uncertain boolean, heads array<string>, tokens array<string>, glued array<string>, n int")
+def _met(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs of names with the same head key and `key`; the head keys are those of `_roles`."""
+    a = left.select(F.col("name").alias("name_a"), F.explode("first").alias("head"), "key").distinct()
+    b = right.select(F.col("name").alias("name_b"), F.explode("second").alias("head"), "key").distinct()
+    return a.join(b, ["head", "key"]).select("name_a", "name_b")
+
+
+def _shared_often(parsed: DataFrame, close: DataFrame, frequent: DataFrame) -> DataFrame:
+    """Candidates of which every pair of close tokens holds a frequent one.
+
+    Both have a token close to that frequent one. Then one of them has nothing but this token, or a second token is
+    matched too: with a token close to a frequent one (or both are rare, and aren't sought here), or with an initial.
+    """
+    near = close.join(F.broadcast(frequent.select(F.col("token").alias("b"))), "b").select(F.col("a").alias("token"), F.col("b").alias("often"))
+    placed = parsed.select("name", "n", "first", "second", "initials", F.explode("places").alias("p")).select("name", "n", "first", "second", "initials", "p.*")
+    heavy = written(placed.join(near, "token"), "name-often")
+    alone = heavy.withColumn("key", F.col("often"))
+    short = _met(alone.where("n = 1"), alone)
+    two = heavy.groupBy("name", "first", "second").agg(F.sort_array(F.collect_set(F.struct("i", "often"))).alias("o"))
+    two = two.select("name", "first", "second", F.explode(F.expr("flatten(transform(o, x -> transform(filter(o, y -> y.i > x.i), y -> least(x.often, y.often) || ' ' || greatest(x.often, y.often))))")).alias("key"))
+    twice = _met(two, two)
+    lettered = heavy.where("size(initials) > 0").select("name", "first", "second", F.explode("initials").alias("x"), "often")
+    other = heavy.select("name", "first", "second", F.explode("others").alias("x"), "often")
+    one = F.concat_ws(" ", "x", "often").alias("key")
+    with_initial = _met(lettered.select("name", "first", "second", one), other.select("name", "first", "second", one))
+    return short.unionByName(twice).unionByName(with_initial)
 
 
 def _candidates(parsed: DataFrame) -> DataFrame:
@@ -204,23 +243,18 @@ def _candidates(parsed: DataFrame) -> DataFrame:
     counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
     counted = written(each.join(counts, "token").select("name", "heads", "token", "k"), "name-tokens")
     rare = counted.where(F.col("k") <= FREQUENT).select("name", "heads", "token")
-    close = close_pairs(rare.select(F.col("token").alias("word")), rare.select(F.col("token").alias("word")))
+    frequent = counted.where(F.col("k") > FREQUENT).select("token").distinct()
+    words = counted.select(F.col("token").alias("word"))
+    close = written(close_pairs(words, words).select("a", "b"), "close-tokens")
     left, right = rare.toDF("name_a", "heads_a", "a"), rare.toDF("name_b", "heads_b", "b")
     # spellings of one entity share a meaning or a first letter of their heads, so pairs that don't aren't shuffled further
-    direct = left.join(close.where("a <= b").select("a", "b"), "a").join(right, "b").where(F.arrays_overlap("heads_a", "heads_b")).select("name_a", "name_b")
+    direct = left.join(close.where("a <= b"), "a").join(right, "b").where(F.arrays_overlap("heads_a", "heads_b")).select("name_a", "name_b")
     # tokens run together, found among the pairs of tokens of other spellings
     whole = rare.where(F.length("token") >= 9).select(F.col("name").alias("name_a"), F.col("token").alias("a"))
     parts = parsed.select(F.col("name").alias("name_b"), F.explode("glued").alias("b"))
     glued = close_pairs(whole.select(F.col("a").alias("word")), parts.select(F.col("b").alias("word")), depth=1).select("a", "b")
     together = whole.join(glued, "a").join(parts, "b").select("name_a", "name_b")
-    # spellings that share only frequent tokens: two of them, or one of them and the head of a short spelling
-    often = counted.where(F.col("k") > FREQUENT).groupBy("name").agg(F.sort_array(F.collect_set("token")).alias("often"))
-    heavy = parsed.join(often, "name")
-    two = heavy.select("name", F.explode(F.expr("flatten(transform(often, (x, i) -> transform(slice(often, i + 2, size(often)), y -> x || ' ' || y)))")).alias("key"))
-    twice = two.withColumnRenamed("name", "name_a").join(two.withColumnRenamed("name", "name_b"), "key").select("name_a", "name_b")
-    one = heavy.select("name", "n", F.explode("often").alias("token"), "heads").select("name", "n", "token", F.explode("heads").alias("head")).select("name", "n", F.concat_ws(" ", "head", "token").alias("key"))
-    short = one.where("n = 1").select(F.col("name").alias("name_a"), "key").join(one.select(F.col("name").alias("name_b"), "key"), "key").select("name_a", "name_b")
-    every = direct.unionByName(together).unionByName(twice).unionByName(short).where("name_a <> name_b")
+    every = direct.unionByName(together).unionByName(_shared_often(parsed, close, frequent)).where("name_a <> name_b")
     return every.select(F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b")).distinct()
 
 

@@ -48,6 +48,12 @@ def test_frequent_family_names_lose_no_link(spark, monkeypatch):
     assert groups == [sorted({"ANA SILVA COSTA", "Ana Costa Silva", "Ana Silva", "Ana Silva Costa"})]
 
 
+@pytest.mark.parametrize("pair", [("Ana Sliva", "Ana Silva"), ("Ana Sliva Costa", "Ana Silva Costa"), ("Ana B. Silva", "Ana Barbosa Silva"), ("A. Silva Costa", "Ana Silva Costa"), ("Ana Silva", "A. Silva Costa")])
+def test_a_pair_is_found_whatever_else_is_frequent(spark, pair):
+    others = [f"{g.capitalize()} {x}" for g in sorted(n.GIVEN) if g[0] not in "ab" for x in ("Silva", "Costa", "Barbosa")][: 3 * (n.FREQUENT + 5)]
+    assert sorted(pair) in linked(spark, [*pair, *others])
+
+
 def test_components_against_union_find(spark):
     r = random.Random(3)
     edges = [(f"n{r.randrange(120):03d}", f"n{r.randrange(120):03d}") for _ in range(90)] + [(f"p{i:03d}", f"p{i + 1:03d}") for i in range(40)]
