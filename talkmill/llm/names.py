@@ -13,10 +13,11 @@ one, so no group of a frequent name is paired with itself.
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import permutations
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -116,40 +117,90 @@ def _same_token(a: str, b: str, strict: bool = False) -> bool:
     return d <= min(1 if strict else 2, allowed(len(a), len(b)))
 
 
+def _matching(edges: list[list[int]], taken: int = -1) -> bool:
+    """True if all left nodes can be matched to different right nodes (without `taken`), by augmenting paths."""
+    owner: dict[int, int] = {}
+    for start in range(len(edges)):
+        came: dict[int, int] = {}  # right node: left node it's reached from
+        queue, end = [start], None
+        for x in queue:
+            for y in edges[x]:
+                if y != taken and y not in came:
+                    came[y] = x
+                    if y not in owner:
+                        end = y
+                        break
+                    queue.append(owner[y])
+            if end is not None:
+                break
+        if end is None:
+            return False
+        held = {x: y for y, x in owner.items()}
+        while end is not None:
+            x = came[end]
+            owner[end], end = x, held.get(x)
+    return True
+
+
 def _assign(fa: tuple[str, ...], ia: tuple[str, ...], fb: tuple[str, ...], ib: tuple[str, ...]) -> bool:
     """True if an assignment matches every token of one side, at least one of them in full."""
     if len(fa) + len(ia) > len(fb) + len(ib):
         fa, ia, fb, ib = fb, ib, fa, ia
     short, long = [*fa, *ia], [*fb, *ib]
-    if len(long) > 6:
-        return sorted(short) == sorted(long)
     strict = len(short) < len(long) or bool(ia or ib)
-    for p in permutations(range(len(long)), len(short)):
-        full = 0
-        for s, j in zip(short, p):
-            t = long[j]
+    edges, full = [], []
+    for i, s in enumerate(short):
+        row = []
+        for j, t in enumerate(long):
             if len(s) == 1 or len(t) == 1:
-                if s[0] != t[0]:
-                    break
+                if s[0] == t[0]:
+                    row.append(j)
             elif _same_token(s, t, strict):
-                full += 1
-            else:
-                break
-        else:
-            if full:
-                return True
-    return False
+                row.append(j)
+                full.append((i, j))
+        if not row:
+            return False
+        edges.append(row)
+    return any(_matching([*edges[:i], *edges[i + 1 :]], j) for i, j in full)
 
 
 def _run_together(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
-    """True if one side's tokens are the other's with neighbours run together."""
+    """True if one side's tokens are the other's with neighbours run together, but for one edit."""
     if len(a) == len(b):
         return False
     few, many = (a, b) if len(a) < len(b) else (b, a)
     whole = "".join(few)
-    if abs(len(whole) - len("".join(many))) > 1 or len(many) > 4:
+    here, there = Counter(whole), Counter("".join(many))
+    if (here - there).total() > 1 or (there - here).total() > 1:
         return False
-    return any(distance("".join(p), whole, 2) <= 1 for p in permutations(many))
+    # places reached in `whole`, tokens still to be laid there, and whether the edit is used up
+    open_ = [(0, tuple(sorted(many)), False)]
+    seen = set(open_)
+
+    def lay(at: int, rest: tuple[str, ...], used: bool) -> None:
+        if at <= len(whole) and (state := (at, rest, used)) not in seen:
+            seen.add(state)
+            open_.append(state)
+
+    while open_:
+        at, rest, used = open_.pop()
+        if not rest:
+            if at == len(whole) or (not used and at + 1 == len(whole)):
+                return True
+            continue
+        for i, t in enumerate(rest):
+            left = (*rest[:i], *rest[i + 1 :])
+            if whole.startswith(t, at):
+                lay(at + len(t), left, used)
+            if used:
+                continue
+            for size in (len(t) - 1, len(t), len(t) + 1):
+                if distance(whole[at : at + size], t, 1) == 1:
+                    lay(at + size, left, True)
+            for j, u in enumerate(left):  # the last letter of a token and the first of the next one swapped
+                if whole.startswith(t[:-1] + u[0] + t[-1] + u[1:], at):
+                    lay(at + len(t) + len(u), (*left[:j], *left[j + 1 :]), True)
+    return False
 
 
 def same_entity(a: str, b: str) -> bool:
@@ -199,22 +250,34 @@ def _parsed(names: DataFrame) -> DataFrame:
                 head, stands, family, initials = parse(name)
                 if not head or not family:
                     continue
-                tokens = [t for t in dict.fromkeys((*family, head)) if len(t) > 3 and not (t == head and t in GIVEN | FIRMS | NICKNAMES.keys())]
-                ordered = [head, *family] if len(head) > 1 else list(family)
-                glued = sorted({x + y for x in ordered for y in ordered if x != y})
+                tokens = list(dict.fromkeys(family))
+                wholes = [t for t in dict.fromkeys((*family, head)) if len(t) > 2]
+                glued = sorted({head + f for f in family}) if len(head) > 1 and len(family) > 1 else []
+                letters = _without_one("".join(family)) if not initials else []
                 heads = sorted({*stands, head[0], *(h[0] for h in stands)})
                 places = [(i, t, sorted({x[0] for x in (*family[:i], *family[i + 1 :], *initials)})) for i, t in enumerate(family)]
-                rows.append((name, len(stands) != 1, heads, tokens, glued, len(family) + len(initials), *_roles(head, stands), places, sorted(set(initials))))
-            yield pd.DataFrame(rows, columns=["name", "uncertain", "heads", "tokens", "glued", "n", "first", "second", "places", "initials"])
+                rows.append((name, len(stands) != 1, heads, tokens, wholes, glued, letters, len(family) + len(initials), *_roles(head, stands), places, sorted(set(initials))))
+            yield pd.DataFrame(rows, columns=["name", "uncertain", "heads", "tokens", "wholes", "glued", "letters", "n", "first", "second", "places", "initials"])
+
+    return names.mapInPandas(run, "name string, uncertain boolean, heads array<string>, tokens array<string>, wholes array<string>, glued array<string>, letters array<string>, n int, first array<string>, second array<string>, places array<struct<i: int, token: string, others: array<string>>>, initials array<string>")
+
 
-    return names.mapInPandas(run, "name string, uncertain boolean, heads array<string>, tokens array<string>, glued array<string>, n int, first array<string>, second array<string>, places array<struct<i: int, token: string, others: array<string>>>, initials array<string>")
+def _met(left: DataFrame, right: DataFrame, where: str = "true") -> DataFrame:
+    """Pairs of names with the same head key and `key`; the head keys are those of `_roles`. `where` may tell by n_a and n_b."""
+    a = left.select(F.col("name").alias("name_a"), F.col("n").alias("n_a"), F.explode("first").alias("head"), "key").distinct()
+    b = right.select(F.col("name").alias("name_b"), F.col("n").alias("n_b"), F.explode("second").alias("head"), "key").distinct()
+    return a.join(b, ["head", "key"]).where(where).select("name_a", "name_b")
 
 
-def _met(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Pairs of names with the same head key and `key`; the head keys are those of `_roles`."""
-    a = left.select(F.col("name").alias("name_a"), F.explode("first").alias("head"), "key").distinct()
-    b = right.select(F.col("name").alias("name_b"), F.explode("second").alias("head"), "key").distinct()
-    return a.join(b, ["head", "key"]).select("name_a", "name_b")
+def _without_one(letters: str) -> list[str]:
+    """Keys of a text's letters in any order, as they are and without each one of them: two texts of which one becomes
+    the other by one edit and another order share a key. Long ones are kept as digests."""
+    counts = Counter(letters)
+    out = []
+    for skip in ("", *sorted(counts)):
+        key = "".join(f"{c}{k - (c == skip)}" for c, k in sorted(counts.items()) if k > (c == skip))
+        out.append(key if len(key) <= 40 else hashlib.blake2b(key.encode(), digest_size=16).hexdigest())
+    return out
 
 
 def _shared_often(parsed: DataFrame, close: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -228,13 +291,13 @@ def _shared_often(parsed: DataFrame, close: DataFrame, frequent: DataFrame) -> D
     heavy = written(placed.join(near, "token"), "name-often")
     alone = heavy.withColumn("key", F.col("often"))
     short = _met(alone.where("n = 1"), alone)
-    two = heavy.groupBy("name", "first", "second").agg(F.sort_array(F.collect_set(F.struct("i", "often"))).alias("o"))
-    two = two.select("name", "first", "second", F.explode(F.expr("flatten(transform(o, x -> transform(filter(o, y -> y.i > x.i), y -> least(x.often, y.often) || ' ' || greatest(x.often, y.often))))")).alias("key"))
+    two = heavy.groupBy("name", "n", "first", "second").agg(F.sort_array(F.collect_set(F.struct("i", "often"))).alias("o"))
+    two = two.select("name", "n", "first", "second", F.explode(F.expr("flatten(transform(o, x -> transform(filter(o, y -> y.i > x.i), y -> least(x.often, y.often) || ' ' || greatest(x.often, y.often))))")).alias("key"))
     twice = _met(two, two)
-    lettered = heavy.where("size(initials) > 0").select("name", "first", "second", F.explode("initials").alias("x"), "often")
-    other = heavy.select("name", "first", "second", F.explode("others").alias("x"), "often")
+    lettered = heavy.where("size(initials) > 0").select("name", "n", "first", "second", F.explode("initials").alias("x"), "often")
+    other = heavy.select("name", "n", "first", "second", F.explode("others").alias("x"), "often")
     one = F.concat_ws(" ", "x", "often").alias("key")
-    with_initial = _met(lettered.select("name", "first", "second", one), other.select("name", "first", "second", one))
+    with_initial = _met(lettered.select("name", "n", "first", "second", one), other.select("name", "n", "first", "second", one))
     return short.unionByName(twice).unionByName(with_initial)
 
 
@@ -249,11 +312,14 @@ def _candidates(parsed: DataFrame) -> DataFrame:
     left, right = rare.toDF("name_a", "heads_a", "a"), rare.toDF("name_b", "heads_b", "b")
     # spellings of one entity share a meaning or a first letter of their heads, so pairs that don't aren't shuffled further
     direct = left.join(close.where("a <= b"), "a").join(right, "b").where(F.arrays_overlap("heads_a", "heads_b")).select("name_a", "name_b")
-    # tokens run together, found among the pairs of tokens of other spellings
-    whole = rare.where(F.length("token") >= 9).select(F.col("name").alias("name_a"), F.col("token").alias("a"))
+    # a head run together with a family token
+    whole = parsed.select(F.col("name").alias("name_a"), F.explode("wholes").alias("a"))
     parts = parsed.select(F.col("name").alias("name_b"), F.explode("glued").alias("b"))
     glued = close_pairs(whole.select(F.col("a").alias("word")), parts.select(F.col("b").alias("word")), depth=1).select("a", "b")
     together = whole.join(glued, "a").join(parts, "b").select("name_a", "name_b")
+    # family tokens run together, by the letters of all of them
+    spelt = parsed.select("name", "n", "first", "second", F.explode("letters").alias("key"))
+    together = together.unionByName(_met(spelt, spelt, "n_a <> n_b"))
     every = direct.unionByName(together).unionByName(_shared_often(parsed, close, frequent)).where("name_a <> name_b")
     return every.select(F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b")).distinct()
 

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -69,3 +70,41 @@ def test_components_against_union_find(spark):
         root[b] = a
     got = {x["node"]: x["label"] for x in n.components(spark.createDataFrame(edges, "x string, y string")).collect()}
     assert got == {x: find(x) for x in list(root)}
+
+
+@pytest.mark.parametrize("group", [("Ana Luz", "ANA LUZ", "Luz, Ana"), ("Ana Pó", "ana po ", "A. Pó"), ("Ana Luz", "Ana Luzz"), ("Ana Lima Po", "Ana Limapo"), ("Ana Bocapi Delomar Trocuz", "Ana Bocapidelomartrocuz"), ("Ana Bocapi Delomar", "Anabocapi Delomar"), ("Ana Leo Pó", "Analeo Pó")])
+def test_short_and_run_together_tokens(spark, group):
+    assert linked(spark, [*group, "José Luz", "Ana Paz"]) == [sorted(group)]
+
+
+LONG = "Bocapi Delomar Trocuz Vinarel Fasipo Gutemor Hilaber"
+
+
+@pytest.mark.parametrize("other", [LONG.replace("Vinarel", "Vinrael"), LONG.replace("Fasipo", "F."), LONG.replace(" Trocuz", ""), LONG.replace("r T", "rT").replace("l F", "lF")])
+def test_long_names(other):
+    assert n.same_entity(f"Ana {LONG}", f"Ana {other}") and n.same_entity(f"Ana {other}", f"Ana {LONG}")
+    assert not n.same_entity(f"Ana {LONG}", f"Ana {other} Zuquetra".replace("Bocapi", "Wexyfo"))
+
+
+def test_matching_and_run_together_against_all_orders():
+    r = random.Random(5)
+    words = ["ab", "ba", "abc", "a", "b", "bca", "cab", "abca", "abcab", "cabcab"]
+
+    def assigned(fa, ia, fb, ib):
+        if len(fa) + len(ia) > len(fb) + len(ib):
+            fa, ia, fb, ib = fb, ib, fa, ia
+        short, long = [*fa, *ia], [*fb, *ib]
+        strict = len(short) < len(long) or bool(ia or ib)
+        for p in itertools.permutations(long, len(short)):
+            kinds = [("i" if s[0] == t[0] else "") if 1 in (len(s), len(t)) else "f" if n._same_token(s, t, strict) else "" for s, t in zip(short, p)]
+            if all(kinds) and "f" in kinds:
+                return True
+        return False
+
+    for _ in range(1500):
+        a, b = (tuple(r.choice(words) for _ in range(r.randint(1, 4))) for _ in range(2))
+        parts = [tuple(w for w in x if (len(w) == 1) == initial) for x in (a, b) for initial in (False, True)]
+        assert n._assign(*parts) == assigned(*parts)
+        few, many = (a, b) if len(a) < len(b) else (b, a)
+        together = len(a) != len(b) and any(n.distance("".join(p), "".join(few), 2) <= 1 for p in itertools.permutations(many))
+        assert n._run_together(a, b) == together, (a, b)
