@@ -6,8 +6,9 @@ without evidence, like a page's header). Undecided units are settled by evidence
 a unit whose documents mostly are responses without content is page residue, any other is content. A document
 is a case if it has a slot, or at least one response and no content.
 
-The documents have no address or title, so slug and title can't be compared with the body; the first unit
-stands for the title, and the source for the host.
+The documents have no address or title, so slug and title aren't compared with the body. Left out as well: the first
+unit isn't told apart from the others, `source` isn't read, and repeated texts aren't evidence. So a document without
+a slot or a term of the fixed lists is never a case, however often its text occurs (see the README).
 """
 
 from __future__ import annotations
