@@ -19,13 +19,14 @@ from __future__ import annotations
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkmill.session import work_dir
 
-#: A message or conversation is over when nothing of it came for this long, in event time. Longer silences split it.
+#: A message or conversation is over when nothing of it came for this long, in event time. Longer silences split it
+#: while the input is open; once it's closed, the parts are put together again.
 TIMEOUT = "120 days"
 #: How late, in event time behind the latest row, a delivery may come and still be merged.
 LATENESS = "30 days"
@@ -66,7 +67,8 @@ def merge_deliveries(deliveries: DataFrame, timeout: str = TIMEOUT, lateness: st
     text is that of the earliest delivery with visible text, else of the earliest. `deliveries` must have event_time.
     """
     seen = visible(F.col("message_body"))
-    order = F.struct(~seen, F.col("message_body").isNull(), F.coalesce("ingested_at", "event_time"), "message_body")
+    came = F.coalesce("ingested_at", "event_time")
+    order = F.struct(~seen, F.col("message_body").isNull(), came, "message_body")
     return (
         deliveries.withWatermark("event_time", lateness)
         .groupBy(F.session_window("event_time", timeout).alias("session"), "conversation_id", "message_id")
@@ -76,17 +78,31 @@ def merge_deliveries(deliveries: DataFrame, timeout: str = TIMEOUT, lateness: st
             F.max("direction").alias("most"),
             F.bool_or(seen).alias("visible"),
             F.min_by("message_body", order).alias("text"),
+            F.min_by(came, order).alias("text_at"),
         )
-        .select("conversation_id", "message_id", "timestamp", F.when(F.col("least") == F.col("most"), F.col("least")).alias("role"), "visible", "text", F.col("session.start").alias("event_time"))
+        .select("conversation_id", "message_id", "timestamp", _role(), "visible", "text", F.col("session.start").alias("event_time"), "least", "most", "text_at")
     )
 
 
+def _role():
+    return F.when(F.col("least") == F.col("most"), F.col("least")).alias("role")
+
+
+def _put_together(messages: DataFrame) -> DataFrame:
+    """One row per message of the rows of `merge_deliveries` that several sessions gave for it; same columns."""
+    order = F.struct(~F.col("visible"), F.col("text").isNull(), "text_at", "text")
+    aggs = [F.min("timestamp").alias("timestamp"), F.min("least").alias("least"), F.max("most").alias("most"), F.bool_or("visible").alias("visible"), F.min_by("text", order).alias("text"), F.min("event_time").alias("event_time"), F.min_by("text_at", order).alias("text_at")]
+    return messages.groupBy("conversation_id", "message_id").agg(*aggs).withColumn("role", _role()).select(messages.columns)
+
+
 def validate(messages: DataFrame, timeout: str = TIMEOUT, lateness: str = LATENESS) -> DataFrame:
     """One row per conversation: n_messages, n_bad (messages without one speaker or without time), answered, valid."""
+    return _judged(messages.withWatermark("event_time", lateness).groupBy(F.session_window("event_time", timeout).alias("session"), "conversation_id"))
+
+
+def _judged(conversations: GroupedData) -> DataFrame:
     return (
-        messages.withWatermark("event_time", lateness)
-        .groupBy(F.session_window("event_time", timeout).alias("session"), "conversation_id")
-        .agg(
+        conversations.agg(
             F.count(F.lit(1)).alias("n_messages"),
             F.count_if(F.col("role").isNull() | F.col("timestamp").isNull()).alias("n_bad"),
             F.min(F.when(F.col("visible") & (F.col("role") == "inbound"), F.col("timestamp"))).alias("asked"),
@@ -184,17 +200,37 @@ class Conversations:
         self._judge()
 
     def messages(self) -> DataFrame:
-        schema = "conversation_id string, message_id string, timestamp timestamp, role string, visible boolean, text string, event_time timestamp"
+        schema = "conversation_id string, message_id string, timestamp timestamp, role string, visible boolean, text string, event_time timestamp, least string, most string, text_at timestamp"
         return self.spark.read.schema(schema).parquet(f"{self.home}/messages")
 
+    def _closed(self) -> bool:
+        return self.spark.read.schema(self._marker_schema).parquet(self.markers).where("of = 'messages'").limit(1).count() > 0
+
+    def _split(self) -> DataFrame:
+        """Ids of the conversations with a silence that may have split them or one of their messages into sessions."""
+        return self.messages().groupBy("conversation_id").agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).where(f"b >= a + INTERVAL {self.timeout}").select("conversation_id")
+
+    def _whole_messages(self) -> DataFrame:
+        """The messages, each once if the input is closed."""
+        if not self._closed():
+            return self.messages()
+        split = self._split()
+        return self.messages().join(split, "conversation_id", "left_anti").unionByName(_put_together(self.messages().join(split, "conversation_id", "left_semi")))
+
     def verdicts(self) -> DataFrame:
-        return self.spark.read.schema("conversation_id string, n_messages long, n_bad long, answered boolean, valid boolean").parquet(f"{self.home}/verdicts")
+        """The verdicts emitted so far; one row per conversation if the input is closed."""
+        emitted = self.spark.read.schema("conversation_id string, n_messages long, n_bad long, answered boolean, valid boolean").parquet(f"{self.home}/verdicts")
+        if not self._closed():
+            return emitted
+        split = self._split()
+        again = _judged(_put_together(self.messages().join(split, "conversation_id", "left_semi")).groupBy("conversation_id"))
+        return emitted.join(split, "conversation_id", "left_anti").unionByName(again)
 
     def dialogues(self) -> DataFrame:
         """The turns of valid conversations: conversation_id, turn (from 1), timestamp, role, text. Equal times are ordered by message_id."""
         valid = self.verdicts().where("valid").select("conversation_id")
         turn = F.row_number().over(Window.partitionBy("conversation_id").orderBy("timestamp", "message_id"))
-        return self.messages().join(valid, "conversation_id", "left_semi").select("conversation_id", turn.cast("long").alias("turn"), "message_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "role", "text")
+        return self._whole_messages().join(valid, "conversation_id", "left_semi").select("conversation_id", turn.cast("long").alias("turn"), "message_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "role", "text")
 
 
 def rebuild(spark: SparkSession, source: str, **options) -> Conversations:

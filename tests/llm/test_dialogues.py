@@ -65,6 +65,17 @@ def test_late_deliveries_join_open_state_and_timeouts_emit(spark):
     assert {r["conversation_id"]: r["valid"] for r in c.verdicts().collect()} == {"a": True, "b": False, "late": False, "z": False}
 
 
+def test_long_silence_does_not_split_a_closed_input(spark):
+    far = 60 * 24 * 200
+    rows = [row("paused", "1"), row("paused", "2", far, "outbound"), row("never", "1"), row("never", "2", far)]
+    rows += [*good("copied"), row("copied", "3", 7, None, "b"), row("copied", "3", far, "inbound", "a", 0), row("copied", "4", far // 2, "outbound")]
+    rows += [*good("clashing"), row("clashing", "2", far, "inbound")]
+    c = d.rebuild(spark, stored(spark, rows))
+    assert sorted((r["conversation_id"], r["n_messages"], r["valid"]) for r in c.verdicts().collect()) == [("clashing", 2, False), ("copied", 4, True), ("never", 2, False), ("paused", 2, True)]
+    turns = [(r["message_id"], r["role"], r["text"]) for r in c.dialogues().where("conversation_id = 'copied'").orderBy("turn").collect()]
+    assert turns == [("1", "inbound", "oi"), ("2", "outbound", "oi"), ("3", "inbound", "a"), ("4", "outbound", "oi")]
+
+
 def test_hot_conversation(spark):
     rows = [row("hot", str(i), i, ["inbound", "outbound"][i % 2]) for i in range(3000)] + [r for i in range(50) for r in good(f"c{i}")]
     v = d.rebuild(spark, stored(spark, rows)).verdicts()
