@@ -46,3 +46,30 @@ def test_filler_and_messages_of_any_length_without_punctuation(spark):
     bad = ["Lorem ipsum a definir rascunho vazio", "sample text título aqui a definir substituir este trecho 123 testando rascunho vazio", "Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua. Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat. Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur.", "erro 500 falha interna tente novamente mais tarde " * 40, "lorem ipsum " * 100_000]
     fine = ["O anúncio mostrava lorem ipsum no lugar do preço e do nome da seguradora", "A franquia do plano cobre vidros faróis e retrovisores " * 30 + "quando o navegador fecha", "El dolor de espalda es culpa del choque y no sed de dinero", "Do ponto de vista da apólice, a culpa é sem efeito"]
     assert found(spark, bad + fine) == set(range(len(bad)))
+
+
+def test_made_up_filler_is_told_by_its_own_vocabulary(spark):
+    import random
+
+    r = random.Random(1)
+    own = ["".join(r.choice("bdfglmnprst") + r.choice("aeiou") for _ in range(3)) for _ in range(14)]
+    made = [" ".join(r.choices(own, k=8)) + ". " + " ".join(r.choices(own, k=5)) + "." for _ in range(12)]
+    other = [f"a {a} do {b} cobre {c} sem franquia" for a in ("apolice", "proposta") for b in ("carro", "seguro", "plano") for c in ("vidros", "farol", "teto")]
+    repeated = ["muito obrigada, voltem sempre"] * 6 + ["placa renavam chassi cor"] * 6  # no function words, but no recombination
+    assert found(spark, made + other + repeated) == set(range(len(made)))
+
+
+def test_unlisted_message_is_learned_from_repeats_and_terms(spark):
+    texts = [f"Sistema em repouso {x}\nErro 500: falha interna" for x in ("agora", "agora", "agora", "outra vez", "por horas")] + ["Sistema em repouso agora"] * 4
+    other = [f"O carro {x} ficou na garagem" for x in ("azul", "novo", "velho")] * 3
+    assert found(spark, texts + other) == set(range(9))
+
+
+def test_long_open_unit_beside_a_message_is_content(spark):
+    others = [f"a renovacao da apolice {i} ficou pronta e a vistoria do carro foi marcada para o dia seguinte na unidade" for i in range(5)]
+    mixed = "a renovacao da apolice ficou pronta e a vistoria do carro foi marcada para outro dia na unidade\nErro 404: página não encontrada"
+    assert found(spark, [*others, mixed, "Erro 404: página não encontrada\n保险车辆报价"]) == {6}
+
+
+def test_no_length_limit_on_slots(spark):
+    assert found(spark, ["Olá {{ " + "nome_" * 100 + " }}", "{% if " + "x" * 500 + " %}"]) == {0, 1}
