@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.functions import broadcast
 
 
 def deletes(word: str, depth: int) -> set[str]:
@@ -92,10 +93,11 @@ def allowed(a: int, b: int, depth: int = 2) -> int:
     return 0 if low < 3 or high < 4 else min(1, depth) if low < 5 or high < 7 else depth
 
 
-def close_pairs(left: DataFrame, right: DataFrame, group: str | None = None, depth: int = 2) -> DataFrame:
+def close_pairs(left: DataFrame, right: DataFrame, group: str | None = None, depth: int = 2, small_right: bool = False) -> DataFrame:
     """Pairs (group, a, b, d) of distinct words `word` of both sides (of the same `group`) whose distance d is `allowed`.
 
     Each word emits its own deletions, and only words that share one are compared: no word meets all others.
+    `small_right` says that the right side was counted and its keys may be broadcast.
     """
     both = [group] if group else []
 
@@ -122,5 +124,6 @@ def close_pairs(left: DataFrame, right: DataFrame, group: str | None = None, dep
     def keyed(df: DataFrame, keys) -> DataFrame:
         return df.select(*both, "word").distinct().repartition(tasks, "word").mapInPandas(spread(keys), f"{head}word string, key string")
 
-    pairs = keyed(left, index_keys).withColumnRenamed("word", "a").join(keyed(right, probe_keys).withColumnRenamed("word", "b"), [*both, "key"]).select(*both, "a", "b").distinct()
+    keys = keyed(right, probe_keys).withColumnRenamed("word", "b")
+    pairs = keyed(left, index_keys).withColumnRenamed("word", "a").join(broadcast(keys) if small_right else keys.hint("merge"), [*both, "key"]).select(*both, "a", "b").distinct()
     return pairs.mapInPandas(measure, f"{head}a string, b string, d int")

@@ -33,6 +33,20 @@ def test_nulls_repeats_and_empty(spark):
     assert run(spark, [("a", "Gazogox", None, None)], []) == {("a", "marca"): -1}
 
 
+def test_longer_entries_numbers_and_other_letters(spark):
+    ref = [(1, "marca", "Onda", None), (2, "marca", "Onda Plus", None), (3, "marca", "208", None), (4, "marca", "Škoda", None), (5, "marca", "2008", None), (6, "marca", "Лада", None)]
+    typed = [("Onda Plus", 2), ("onda pluss", 2), ("Onda", 1), ("minha onda", 1), ("208", 3), ("o 208 prata", 3), ("2008", 5), ("2018", -1), ("Škoda", 4), ("skoda", 4), ("SKDOA", 4), ("лада", 6), ("20 8", 3)]
+    got = run(spark, [(t, t, None, None) for t, _ in typed], ref)
+    assert got == {(t, "marca"): r for t, r in typed}
+
+
+def test_a_reference_too_long_to_broadcast_gives_the_same(spark, monkeypatch):
+    rows = [(t, None, None, t) for t, _ in TYPED[:8]]
+    want = run(spark, rows)
+    monkeypatch.setattr(c, "REFERENCE_ROWS", 0)
+    assert run(spark, rows) == want
+
+
 words = st.text("abcd", min_size=1, max_size=8)
 
 
