@@ -1,14 +1,15 @@
 """Spellings of names that belong to the same person or firm.
 
-Each distinct spelling is parsed into a head (given name or kind of firm) and family tokens. A symmetric-delete
-index over the distinct tokens finds tokens at a small edit distance; spellings that share a close token are
-candidates, and each candidate pair is decided by an optimal assignment of its tokens that permits initials,
-abbreviations, nicknames, left-out tokens and tokens run together. Spellings linked by certain pairs form an
-entity; a spelling whose head is only an initial or an ambiguous nickname joins an entity if exactly one fits.
-
-Tokens that occur in many spellings aren't blocking keys of their own: a spelling with a token close to such a one is
-keyed by it with the head's meaning and a second token or initial, or by head and token alone if it has no second
-one, so no group of a frequent name is paired with itself.
+Each distinct spelling is parsed into a head (given name or kind of firm) and family tokens; spellings with the same
+parts are one form, and only one spelling of a form is compared with others. A symmetric-delete index over the distinct
+tokens finds tokens at a small edit distance; forms that share close tokens are candidates, and each candidate pair is
+decided by an optimal assignment of its tokens that permits initials, abbreviations, nicknames, left-out tokens and
+tokens run together. Forms linked by certain pairs form an entity; a form whose head is only an initial or an ambiguous
+nickname joins an entity if exactly one fits.
+
+A pair is sought by what its assignment must hold, with the head's meaning in the key: the only family token of the
+shorter side, or two tokens of it (both are among the close tokens of the longer side), or a token and an initial. So
+no group of a frequent token is paired with itself, and every token is treated alike, however often it occurs.
 """
 
 from __future__ import annotations
@@ -45,8 +46,6 @@ TITLES = frozenset("sr sra srta snr dr dra doutor doutora prof profa professor p
 LEGAL = frozenset("ltda me mei epp eireli sa cia companhia filhos irmaos limitada".split())
 NOTES = frozenset("trabalho casa novo nova numero antigo matriz filial loja escritorio pessoal empresa whatsapp whats wpp zap celular cel fone tel contato cliente lead residencial recado".split()) - {"loja", "empresa"}
 JOINERS = frozenset("de da do das dos e del di du van von y".split())
-#: A token in more spellings than this isn't a blocking key alone (see the module's text: nothing is lost by it).
-FREQUENT = 60
 _NOTE = re.compile(r"\([^()]*\)|\[[^\[\]]*\]|\b(?:novo|nova|outro) numero\b")
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -83,8 +82,9 @@ def parse(name: str) -> tuple[str, tuple[str, ...], tuple[str, ...], tuple[str,
     words = [w for p in pieces for w in p]
     n = len(words)
     kept = []
+    firm = any(w in FIRMS for w in words)
     for i, w in enumerate(words):
-        if w in TITLES or w in LEGAL or w in NOTES:
+        if w in TITLES or (w in LEGAL and (firm or w != "sa")) or w in NOTES:  # Sá is a family name too
             continue
         if w in JOINERS and not (len(w) == 1 and (i == 0 or i == n - 1)):
             continue
@@ -112,56 +112,63 @@ def uncertain(name: str) -> bool:
     return len(stands) != 1
 
 
-def _same_token(a: str, b: str, strict: bool = False) -> bool:
-    d = distance(a, b, 2)
-    return d <= min(1 if strict else 2, allowed(len(a), len(b)))
-
-
-def _matching(edges: list[list[int]], taken: int = -1) -> bool:
-    """True if all left nodes can be matched to different right nodes (without `taken`), by augmenting paths."""
-    owner: dict[int, int] = {}
-    for start in range(len(edges)):
-        came: dict[int, int] = {}  # right node: left node it's reached from
-        queue, end = [start], None
-        for x in queue:
-            for y in edges[x]:
-                if y != taken and y not in came:
-                    came[y] = x
-                    if y not in owner:
-                        end = y
-                        break
-                    queue.append(owner[y])
-            if end is not None:
-                break
-        if end is None:
-            return False
-        held = {x: y for y, x in owner.items()}
-        while end is not None:
-            x = came[end]
-            owner[end], end = x, held.get(x)
-    return True
+#: Costs of the assignment: an edit counts 1, an initial more than any edits, and what doesn't fit more than all else.
+INITIAL_COST, NO_FIT = 3, 10**6
+
+
+def _cost(s: str, t: str, strict: bool) -> int:
+    if len(s) == 1 or len(t) == 1:
+        return INITIAL_COST if s[0] == t[0] else NO_FIT
+    d = distance(s, t, 2)
+    return d if d <= min(1 if strict else 2, allowed(len(s), len(t))) else NO_FIT
+
+
+def _optimal(costs: list[list[int]]) -> int:
+    """Least total cost of giving each row a column of its own (no more rows than columns), by shortest augmenting paths."""
+    n, m = len(costs), len(costs[0])
+    u, v, owner, way = [0] * (n + 1), [0] * (m + 1), [0] * (m + 1), [0] * (m + 1)
+    for i in range(1, n + 1):
+        owner[0], j0 = i, 0
+        least, used = [float("inf")] * (m + 1), [False] * (m + 1)
+        while owner[j0]:
+            used[j0] = True
+            i0, delta, j1 = owner[j0], float("inf"), 0
+            for j in range(1, m + 1):
+                if not used[j]:
+                    c = costs[i0 - 1][j - 1] - u[i0] - v[j]
+                    if c < least[j]:
+                        least[j], way[j] = c, j0
+                    if least[j] < delta:
+                        delta, j1 = least[j], j
+            for j in range(m + 1):
+                if used[j]:
+                    u[owner[j]] += delta
+                    v[j] -= delta
+                else:
+                    least[j] -= delta
+            j0 = j1
+        while j0:
+            owner[j0] = owner[way[j0]]
+            j0 = way[j0]
+    return -v[0]
 
 
 def _assign(fa: tuple[str, ...], ia: tuple[str, ...], fb: tuple[str, ...], ib: tuple[str, ...]) -> bool:
-    """True if an assignment matches every token of one side, at least one of them in full."""
+    """True if the optimal assignment fits every token of the shorter side, at least one of them in full.
+
+    Since an initial costs more than any edits, the optimum holds a full match wherever one is possible.
+    """
     if len(fa) + len(ia) > len(fb) + len(ib):
         fa, ia, fb, ib = fb, ib, fa, ia
     short, long = [*fa, *ia], [*fb, *ib]
     strict = len(short) < len(long) or bool(ia or ib)
-    edges, full = [], []
-    for i, s in enumerate(short):
-        row = []
-        for j, t in enumerate(long):
-            if len(s) == 1 or len(t) == 1:
-                if s[0] == t[0]:
-                    row.append(j)
-            elif _same_token(s, t, strict):
-                row.append(j)
-                full.append((i, j))
-        if not row:
+    costs = []
+    for s in short:
+        row = [_cost(s, t, strict) for t in long]
+        if min(row) >= NO_FIT:
             return False
-        edges.append(row)
-    return any(_matching([*edges[:i], *edges[i + 1 :]], j) for i, j in full)
+        costs.append(row)
+    return _optimal(costs) < INITIAL_COST * len(short)
 
 
 def _run_together(a: tuple[str, ...], b: tuple[str, ...]) -> bool:
@@ -242,31 +249,48 @@ def _roles(head: str, stands: tuple[str, ...]) -> tuple[list[str], list[str]]:
     return [*(f"s:{s}" for s in stands), *(f"m:{x}" for x in letters)], [*(f"s:{s}" for s in stands), *(f"l:{x}" for x in letters)]
 
 
+def _forms(names: DataFrame) -> DataFrame:
+    """name and form (all that parsing leaves of it) of each spelling that isn't a single word; equal forms are decided alike."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for name in b["name"]:
+                head, stands, family, initials = parse(name)
+                if head and family:
+                    rows.append((name, "|".join(" ".join(x) for x in ((head,), stands, family, initials)), len(stands) != 1))
+            yield pd.DataFrame(rows, columns=["name", "form", "vague"])
+
+    return names.mapInPandas(run, "name string, form string, vague boolean")
+
+
 def _parsed(names: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for name in b["name"]:
                 head, stands, family, initials = parse(name)
-                if not head or not family:
-                    continue
-                tokens = list(dict.fromkeys(family))
                 wholes = [t for t in dict.fromkeys((*family, head)) if len(t) > 2]
                 glued = sorted({head + f for f in family}) if len(head) > 1 and len(family) > 1 else []
                 letters = _without_one("".join(family)) if not initials else []
-                heads = sorted({*stands, head[0], *(h[0] for h in stands)})
-                places = [(i, t, sorted({x[0] for x in (*family[:i], *family[i + 1 :], *initials)})) for i, t in enumerate(family)]
-                rows.append((name, len(stands) != 1, heads, tokens, wholes, glued, letters, len(family) + len(initials), *_roles(head, stands), places, sorted(set(initials))))
-            yield pd.DataFrame(rows, columns=["name", "uncertain", "heads", "tokens", "wholes", "glued", "letters", "n", "first", "second", "places", "initials"])
+                others: dict[str, int] = Counter(x[0] for x in (*family, *initials))
+                places = [(i, t, sorted(x for x, k in others.items() if k > (x == t[0]))) for i, t in enumerate(family)]
+                # two tokens that stand for all of a name without initials: the longest ones, as they're the rarest
+                two = sorted(range(len(family)), key=lambda i: (-len(family[i]), family[i], i))[:2] if len(family) > 1 and not initials else []
+                rows.append((name, wholes, glued, letters, len(family), len(family) + len(initials), *_roles(head, stands), places, sorted(set(initials)), sorted(family[i] for i in two)))
+            yield pd.DataFrame(rows, columns=["name", "wholes", "glued", "letters", "words", "n", "first", "second", "places", "initials", "two"])
 
-    return names.mapInPandas(run, "name string, uncertain boolean, heads array<string>, tokens array<string>, wholes array<string>, glued array<string>, letters array<string>, n int, first array<string>, second array<string>, places array<struct<i: int, token: string, others: array<string>>>, initials array<string>")
+    return names.mapInPandas(run, "name string, wholes array<string>, glued array<string>, letters array<string>, words int, n int, first array<string>, second array<string>, places array<struct<i: int, token: string, others: array<string>>>, initials array<string>, two array<string>")
 
 
 def _met(left: DataFrame, right: DataFrame, where: str = "true") -> DataFrame:
-    """Pairs of names with the same head key and `key`; the head keys are those of `_roles`. `where` may tell by n_a and n_b."""
-    a = left.select(F.col("name").alias("name_a"), F.col("n").alias("n_a"), F.explode("first").alias("head"), "key").distinct()
-    b = right.select(F.col("name").alias("name_b"), F.col("n").alias("n_b"), F.explode("second").alias("head"), "key").distinct()
-    return a.join(b, ["head", "key"]).where(where).select("name_a", "name_b")
+    """Pairs of names with the same head key and `key`; the head keys are those of `_roles`. `where` may tell by n_a and n_b.
+
+    Keys are joined by a hash: one that two keys share gives a candidate that is decided like any other.
+    """
+    a = left.select(F.col("name").alias("name_a"), F.col("n").alias("n_a"), F.explode("first").alias("head"), "key").select("name_a", "n_a", F.xxhash64("head", "key").alias("at"))
+    b = right.select(F.col("name").alias("name_b"), F.col("n").alias("n_b"), F.explode("second").alias("head"), "key").select("name_b", "n_b", F.xxhash64("head", "key").alias("at"))
+    return a.hint("merge").join(b, "at").where(where).select("name_a", "name_b")
 
 
 def _without_one(letters: str) -> list[str]:
@@ -280,47 +304,40 @@ def _without_one(letters: str) -> list[str]:
     return out
 
 
-def _shared_often(parsed: DataFrame, close: DataFrame, frequent: DataFrame) -> DataFrame:
-    """Candidates of which every pair of close tokens holds a frequent one.
-
-    Both have a token close to that frequent one. Then one of them has nothing but this token, or a second token is
-    matched too: with a token close to a frequent one (or both are rare, and aren't sought here), or with an initial.
-    """
-    near = close.join(F.broadcast(frequent.select(F.col("token").alias("b"))), "b").select(F.col("a").alias("token"), F.col("b").alias("often"))
-    placed = parsed.select("name", "n", "first", "second", "initials", F.explode("places").alias("p")).select("name", "n", "first", "second", "initials", "p.*")
-    heavy = written(placed.join(near, "token"), "name-often")
-    alone = heavy.withColumn("key", F.col("often"))
-    short = _met(alone.where("n = 1"), alone)
-    two = heavy.groupBy("name", "n", "first", "second").agg(F.sort_array(F.collect_set(F.struct("i", "often"))).alias("o"))
-    two = two.select("name", "n", "first", "second", F.explode(F.expr("flatten(transform(o, x -> transform(filter(o, y -> y.i > x.i), y -> least(x.often, y.often) || ' ' || greatest(x.often, y.often))))")).alias("key"))
-    twice = _met(two, two)
-    lettered = heavy.where("size(initials) > 0").select("name", "n", "first", "second", F.explode("initials").alias("x"), "often")
-    other = heavy.select("name", "n", "first", "second", F.explode("others").alias("x"), "often")
-    one = F.concat_ws(" ", "x", "often").alias("key")
-    with_initial = _met(lettered.select("name", "n", "first", "second", one), other.select("name", "n", "first", "second", one))
-    return short.unionByName(twice).unionByName(with_initial)
+def _pair(a: str, b: str):
+    return F.concat_ws(" ", F.least(a, b), F.greatest(a, b)).alias("key")
 
 
 def _candidates(parsed: DataFrame) -> DataFrame:
-    each = parsed.select("name", "heads", F.explode("tokens").alias("token"))
-    counts = each.groupBy("token").agg(F.count(F.lit(1)).alias("k"))
-    counted = written(each.join(counts, "token").select("name", "heads", "token", "k"), "name-tokens")
-    rare = counted.where(F.col("k") <= FREQUENT).select("name", "heads", "token")
-    frequent = counted.where(F.col("k") > FREQUENT).select("token").distinct()
-    words = counted.select(F.col("token").alias("word"))
+    words = parsed.select(F.explode("places.token").alias("word"))
     close = written(close_pairs(words, words).select("a", "b"), "close-tokens")
-    left, right = rare.toDF("name_a", "heads_a", "a"), rare.toDF("name_b", "heads_b", "b")
-    # spellings of one entity share a meaning or a first letter of their heads, so pairs that don't aren't shuffled further
-    direct = left.join(close.where("a <= b"), "a").join(right, "b").where(F.arrays_overlap("heads_a", "heads_b")).select("name_a", "name_b")
+    placed = parsed.select("name", "n", "second", "initials", F.explode("places").alias("p")).select("name", "n", "second", "initials", "p.*")
+    # each token under every token that is close to it
+    near = written(placed.join(close.toDF("token", "near").hint("merge"), "token").drop("token"), "name-near")
+    roles = ["name", "n", "second"]
+    # the shorter side's only token
+    single = parsed.where("n = 1").select("name", "n", "first", F.col("places")[0]["token"].alias("key"))
+    short = _met(single, near.select(*roles, F.col("near").alias("key")).distinct())
+    # two tokens of the shorter side; the pairs of the longer one are laid out row by row
+    sided = near.groupBy(*roles).agg(F.collect_set(F.struct("i", "near")).alias("o"))
+    left = sided.select(*roles, "o", F.explode("o").alias("x")).select(*roles, "x", F.explode(F.expr("filter(o, y -> y.i > x.i)")).alias("y"))
+    both = left.select(*roles, _pair("x.near", "y.near")).distinct()
+    twice = _met(parsed.where("size(two) = 2").select("name", "n", "first", F.concat_ws(" ", F.col("two")[0], F.col("two")[1]).alias("key")), both, "n_a <= n_b")
+    # an initial of one side that stands for a token or initial of the other, beside a token of both
+    own = parsed.where("size(initials) > 0").select("name", "n", "first", F.explode("initials").alias("x"), F.col("places.token").alias("t"))
+    own = own.select("name", "n", "first", "x", F.explode("t").alias("t")).distinct()
+    letter = F.concat_ws(" ", "x", "t").alias("key")
+    other = near.select(*roles, F.explode("others").alias("x"), F.col("near").alias("t")).distinct()
+    with_initial = _met(own.select("name", "n", "first", letter), other.select(*roles, letter))
     # a head run together with a family token
     whole = parsed.select(F.col("name").alias("name_a"), F.explode("wholes").alias("a"))
     parts = parsed.select(F.col("name").alias("name_b"), F.explode("glued").alias("b"))
     glued = close_pairs(whole.select(F.col("a").alias("word")), parts.select(F.col("b").alias("word")), depth=1).select("a", "b")
-    together = whole.join(glued, "a").join(parts, "b").select("name_a", "name_b")
+    together = whole.join(glued.hint("merge"), "a").join(parts.hint("merge"), "b").select("name_a", "name_b")
     # family tokens run together, by the letters of all of them
     spelt = parsed.select("name", "n", "first", "second", F.explode("letters").alias("key"))
-    together = together.unionByName(_met(spelt, spelt, "n_a <> n_b"))
-    every = direct.unionByName(together).unionByName(_shared_often(parsed, close, frequent)).where("name_a <> name_b")
+    together = together.unionByName(_met(spelt, spelt.where("n > 1"), "n_a < n_b"))
+    every = short.unionByName(twice).unionByName(with_initial).unionByName(together).where("name_a <> name_b")
     return every.select(F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b")).distinct()
 
 
@@ -360,11 +377,14 @@ def entities(rows: DataFrame, name: str = "sender_name") -> DataFrame:
     """name and entity (the least spelling of the entity) for each distinct spelling that is linked to another one.
 
     Null and blank names, and names of a single word (titles, notes and legal forms not counted), are linked to
-    nothing. Repeated rows count once; spellings that differ only in case or white space are different spellings of
+    nothing. Spellings of one form that may stand for several entities aren't linked. Repeated rows count once; spellings that differ only in case or white space are different spellings of
     one entity. Extra columns are ignored. An empty table gives an empty result.
     """
     names = rows.select(F.col(name).cast("string").alias("name")).where("name IS NOT NULL").distinct()
-    parsed = written(_parsed(names), "names")
+    members = written(_forms(names), "names")
+    forms = written(members.groupBy("form").agg(F.min("name").alias("name"), F.count(F.lit(1)).alias("members"), F.first("vague").alias("vague")), "name-forms")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows.sparkSession.sparkContext.defaultParallelism)
+    parsed = written(_parsed(forms.select("name").repartition(tasks)), "name-parts")
     edges = written(_decided(_candidates(parsed)), "name-edges")
     sure = edges.where("NOT vague_a AND NOT vague_b").select(F.col("name_a").alias("x"), F.col("name_b").alias("y"))
     label = components(sure)
@@ -377,7 +397,13 @@ def entities(rows: DataFrame, name: str = "sender_name") -> DataFrame:
     joined = targets.where("k = 1").select(F.col("vague").alias("node"), "label")
     roots = joined.select(F.col("label").alias("node"), "label").distinct()
     found = label.unionByName(joined).unionByName(roots).unionByName(components(alone)).distinct()
-    return found.select(F.col("node").alias(name), F.col("label").alias("entity"))
+    torn = targets.where("k > 1").select(F.col("vague").alias("node"))  # may be of several entities: linked to none
+    several = forms.where("members > 1").select(F.col("name").alias("node")).join(found, "node", "left_anti").join(torn, "node", "left_anti").select("node", F.col("node").alias("label"))
+    labels = found.unionByName(several).withColumnRenamed("node", "first")
+    spelt = members.select("name", "form").join(forms.select("form", F.col("name").alias("first")), "form").join(labels, "first").select("name", "label")
+    # the least spelling of an entity is the least of its forms' least ones, or joined to it later
+    least = spelt.groupBy("label").agg(F.min("name").alias("entity"))
+    return spelt.join(least, "label").select(F.col("name").alias(name), "entity")
 
 
 def p6_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
