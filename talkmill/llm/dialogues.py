@@ -11,7 +11,8 @@ Two stateful streams in append mode, each with an event-time watermark and a tab
 State is one small row per open message and one per open conversation (RocksDB, changelog in the shared folder),
 so a conversation with any share of the rows is spread over all tasks; copies and sessions are merged within a
 task before they're shuffled. Closing is a marker with a far event time that moves the watermark past every
-open session. Rows are ordered within a conversation by a window over the emitted messages, whose sort spills.
+open session. Results are corrected when they're read: sessions of one key are merged, and if a stream reports rows that
+came behind its watermark, the messages that lack some of their deliveries are rebuilt. Rows are ordered within a conversation by a window over the emitted messages, whose sort spills.
 """
 
 from __future__ import annotations
@@ -23,12 +24,13 @@ from pyspark.sql import DataFrame, GroupedData, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talkmill.session import work_dir
+from talkmill.session import work_dir, written
 
-#: A message or conversation is over when nothing of it came for this long, in event time. Longer silences split it
-#: while the input is open; once it's closed, the parts are put together again.
+#: A message or conversation is over when nothing of it came for this long, in event time. Sessions that a longer
+#: silence split are put together again when the results are read, so there's one current verdict per conversation.
 TIMEOUT = "120 days"
-#: How late, in event time behind the latest row, a delivery may come and still be merged.
+#: How late, in event time behind the latest row, a delivery may come and still be merged by the stream. What comes
+#: later is dropped by it, counted in the table `dropped`, and brought in again from the source (see `late`).
 LATENESS = "30 days"
 #: White space and zero-width characters, as a character class of Java's and RE2's dialects.
 BLANK_JAVA = r"\s\x1c-\x1f\x{85}\x{a0}\x{ad}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}-\x{2064}\x{3000}\x{feff}"
@@ -50,6 +52,7 @@ def _stateful(spark: SparkSession):
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
         "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
+        "spark.sql.streaming.numRecentProgressUpdates": "100000",
     }
     before = {k: spark.conf.get(k, None) for k in own}
     for k, v in own.items():
@@ -79,8 +82,9 @@ def merge_deliveries(deliveries: DataFrame, timeout: str = TIMEOUT, lateness: st
             F.bool_or(seen).alias("visible"),
             F.min_by("message_body", order).alias("text"),
             F.min_by(came, order).alias("text_at"),
+            F.count(F.lit(1)).alias("n_rows"),
         )
-        .select("conversation_id", "message_id", "timestamp", _role(), "visible", "text", F.col("session.start").alias("event_time"), "least", "most", "text_at")
+        .select("conversation_id", "message_id", "timestamp", _role(), "visible", "text", F.col("session.start").alias("event_time"), "least", "most", "text_at", "n_rows")
     )
 
 
@@ -91,7 +95,7 @@ def _role():
 def _put_together(messages: DataFrame) -> DataFrame:
     """One row per message of the rows of `merge_deliveries` that several sessions gave for it; same columns."""
     order = F.struct(~F.col("visible"), F.col("text").isNull(), "text_at", "text")
-    aggs = [F.min("timestamp").alias("timestamp"), F.min("least").alias("least"), F.max("most").alias("most"), F.bool_or("visible").alias("visible"), F.min_by("text", order).alias("text"), F.min("event_time").alias("event_time"), F.min_by("text_at", order).alias("text_at")]
+    aggs = [F.min("timestamp").alias("timestamp"), F.min("least").alias("least"), F.max("most").alias("most"), F.bool_or("visible").alias("visible"), F.min_by("text", order).alias("text"), F.min("event_time").alias("event_time"), F.min_by("text_at", order).alias("text_at"), F.sum("n_rows").alias("n_rows")]
     return messages.groupBy("conversation_id", "message_id").agg(*aggs).withColumn("role", _role()).select(messages.columns)
 
 
@@ -113,12 +117,24 @@ def _judged(conversations: GroupedData) -> DataFrame:
     )
 
 
-def _drain(spark: SparkSession, stream: DataFrame, sink: str, checkpoint: str) -> None:
-    """Processes what is there, then stops; called again it goes on where it stopped."""
+def _drain(spark: SparkSession, stream: DataFrame, sink: str, checkpoint: str) -> int:
+    """Processes what is there, then stops; called again it goes on where it stopped. Returns how many rows came too late."""
     query = stream.writeStream.format("parquet").outputMode("append").option("path", sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     if query.exception():
         raise query.exception()
+    return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
+
+
+def _arranged(rows: DataFrame) -> DataFrame:
+    """The identified deliveries with event_time."""
+    return (
+        rows.select(*COLUMNS)
+        .where("conversation_id IS NOT NULL AND message_id IS NOT NULL")
+        .withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+        .withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
+        .withColumn("event_time", F.coalesce("timestamp", "ingested_at", F.lit(datetime(1970, 1, 2)).cast("timestamp")))
+    )
 
 
 class Conversations:
@@ -159,24 +175,15 @@ class Conversations:
         return self.spark.readStream.schema(self._marker_schema).parquet(self.markers).where(F.col("of") == of).select(F.lit(MARKER).alias("conversation_id"), "event_time")
 
     def _deliveries(self) -> DataFrame:
-        rows = (
-            self.spark.readStream.schema(self.schema)
-            .parquet(self.source)
-            .select(*COLUMNS)
-            .where("conversation_id IS NOT NULL AND message_id IS NOT NULL")
-            .withColumn("timestamp", F.col("timestamp").cast("timestamp"))
-            .withColumn("ingested_at", F.col("ingested_at").cast("timestamp"))
-            .withColumn("event_time", F.coalesce("timestamp", "ingested_at", F.lit(datetime(1970, 1, 2)).cast("timestamp")))
-        )
-        return rows.unionByName(self._markers("deliveries"), allowMissingColumns=True)
+        return _arranged(self.spark.readStream.schema(self.schema).parquet(self.source)).unionByName(self._markers("deliveries"), allowMissingColumns=True)
 
     def _messages(self) -> DataFrame:
-        rows = self.spark.readStream.schema(self.messages().schema).parquet(f"{self.home}/messages")
+        rows = self.spark.readStream.schema(self._emitted().schema).parquet(f"{self.home}/messages")
         return rows.unionByName(self._markers("messages"), allowMissingColumns=True)
 
     def _step(self) -> None:
         with _stateful(self.spark):
-            _drain(self.spark, merge_deliveries(self._deliveries(), self.timeout, self.lateness), f"{self.home}/messages", f"{self.home}/deliveries-checkpoint")
+            self._note("deliveries", _drain(self.spark, merge_deliveries(self._deliveries(), self.timeout, self.lateness), f"{self.home}/messages", f"{self.home}/deliveries-checkpoint"))
 
     def advance(self) -> None:
         self._step()
@@ -184,14 +191,26 @@ class Conversations:
 
     def _judge(self) -> None:
         with _stateful(self.spark):
-            _drain(self.spark, validate(self._messages(), self.timeout, self.lateness), f"{self.home}/verdicts", f"{self.home}/messages-checkpoint")
+            self._note("messages", _drain(self.spark, validate(self._messages(), self.timeout, self.lateness), f"{self.home}/verdicts", f"{self.home}/messages-checkpoint"))
+
+    def _note(self, of: str, n: int) -> None:
+        if n:
+            self.spark.createDataFrame([(of, n)], "of string, n long").coalesce(1).write.mode("append").parquet(f"{self.home}/dropped")
+
+    def dropped(self) -> DataFrame:
+        """of (deliveries or messages) and n: what the streams reported as too late, one row per report."""
+        fs, path = self._path(f"{self.home}/dropped")
+        return self.spark.read.schema("of string, n long").parquet(f"{self.home}/dropped") if fs.exists(path) else self.spark.createDataFrame([], "of string, n long")
+
+    def _too_late(self, of: str) -> bool:
+        return self.dropped().where(F.col("of") == of).limit(1).count() > 0
 
     def _mark(self, of: str) -> None:
         far = datetime(9000, 1, 1) + timedelta(seconds=self.spark.read.schema(self._marker_schema).parquet(self.markers).count() + 1)
         self.spark.createDataFrame([(MARKER, far, of)], self._marker_schema).coalesce(1).write.mode("append").parquet(self.markers)
 
     def close(self) -> None:
-        """Ends the input. Rows that arrive later than this are late for good."""
+        """Ends the input. Rows that arrive later than this are dropped by the streams and brought in like other late ones."""
         self._step()
         self._mark("deliveries")
         self._step()
@@ -199,38 +218,70 @@ class Conversations:
         self._mark("messages")
         self._judge()
 
-    def messages(self) -> DataFrame:
-        schema = "conversation_id string, message_id string, timestamp timestamp, role string, visible boolean, text string, event_time timestamp, least string, most string, text_at timestamp"
+    def _emitted(self) -> DataFrame:
+        schema = "conversation_id string, message_id string, timestamp timestamp, role string, visible boolean, text string, event_time timestamp, least string, most string, text_at timestamp, n_rows long"
         return self.spark.read.schema(schema).parquet(f"{self.home}/messages")
 
     def _closed(self) -> bool:
         return self.spark.read.schema(self._marker_schema).parquet(self.markers).where("of = 'messages'").limit(1).count() > 0
 
+    def late(self) -> DataFrame:
+        """conversation_id, message_id and missing (deliveries) of the messages that the stream emitted without some of
+        their deliveries, or not at all though the input is closed. Empty unless the stream reported late rows."""
+        if not self._too_late("deliveries"):
+            return self.spark.createDataFrame([], "conversation_id string, message_id string, missing long")
+        there = _arranged(self.spark.read.schema(self.schema).parquet(self.source)).groupBy("conversation_id", "message_id").agg(F.count(F.lit(1)).alias("there"))
+        merged = self._emitted().groupBy("conversation_id", "message_id").agg(F.sum("n_rows").alias("merged"))
+        both = there.join(merged, ["conversation_id", "message_id"], "left" if self._closed() else "inner")
+        return both.withColumn("missing", F.col("there") - F.coalesce("merged", F.lit(0))).where("missing > 0").select("conversation_id", "message_id", "missing")
+
     def _split(self) -> DataFrame:
         """Ids of the conversations with a silence that may have split them or one of their messages into sessions."""
-        return self.messages().groupBy("conversation_id").agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).where(f"b >= a + INTERVAL {self.timeout}").select("conversation_id")
+        return self._emitted().groupBy("conversation_id").agg(F.min("event_time").alias("a"), F.max("event_time").alias("b")).where(f"b >= a + INTERVAL {self.timeout}").select("conversation_id")
+
+    def _touched(self) -> DataFrame:
+        """Ids of the conversations whose emitted rows need correction."""
+        ids = self._split()
+        if self._too_late("deliveries"):
+            ids = ids.unionByName(self.late().select("conversation_id"))
+        if self._too_late("messages"):
+            judged = self._judged_once().groupBy("conversation_id").agg(F.sum("n_messages").alias("n"))
+            held = self._emitted().groupBy("conversation_id").agg(F.count(F.lit(1)).alias("m"))
+            ids = ids.unionByName(held.join(judged, "conversation_id", "left" if self._closed() else "inner").where("NOT n <=> m").select("conversation_id"))
+        return ids.distinct()
+
+    def _corrected(self, touched: DataFrame) -> DataFrame:
+        """The messages of the touched conversations, each once, with the deliveries that came too late."""
+        old = self._emitted().join(touched, "conversation_id", "left_semi")
+        if not self._too_late("deliveries"):
+            return _put_together(old)
+        late = written(self.late(), "late-messages").select("conversation_id", "message_id")
+        deliveries = _arranged(self.spark.read.schema(self.schema).parquet(self.source)).join(late, ["conversation_id", "message_id"], "left_semi")
+        # one session per message: the watermark has no say in a table
+        again = merge_deliveries(deliveries, "400000 days", self.lateness).select(old.columns)
+        return _put_together(old.join(late, ["conversation_id", "message_id"], "left_anti").unionByName(again))
 
-    def _whole_messages(self) -> DataFrame:
-        """The messages, each once if the input is closed."""
-        if not self._closed():
-            return self.messages()
-        split = self._split()
-        return self.messages().join(split, "conversation_id", "left_anti").unionByName(_put_together(self.messages().join(split, "conversation_id", "left_semi")))
+    def messages(self) -> DataFrame:
+        """The messages emitted so far, each once, with all its deliveries."""
+        touched = self._touched()
+        return self._emitted().join(touched, "conversation_id", "left_anti").unionByName(self._corrected(touched))
+
+    def _judged_once(self) -> DataFrame:
+        return self.spark.read.schema("conversation_id string, n_messages long, n_bad long, answered boolean, valid boolean").parquet(f"{self.home}/verdicts")
 
     def verdicts(self) -> DataFrame:
-        """The verdicts emitted so far; one row per conversation if the input is closed."""
-        emitted = self.spark.read.schema("conversation_id string, n_messages long, n_bad long, answered boolean, valid boolean").parquet(f"{self.home}/verdicts")
+        """The verdicts emitted so far: one row per conversation, as all its known messages have it."""
+        emitted, touched = self._judged_once(), self._touched()
+        again = _judged(self._corrected(touched).groupBy("conversation_id"))
         if not self._closed():
-            return emitted
-        split = self._split()
-        again = _judged(_put_together(self.messages().join(split, "conversation_id", "left_semi")).groupBy("conversation_id"))
-        return emitted.join(split, "conversation_id", "left_anti").unionByName(again)
+            again = again.join(emitted.select("conversation_id").distinct(), "conversation_id", "left_semi")
+        return emitted.join(touched, "conversation_id", "left_anti").unionByName(again)
 
     def dialogues(self) -> DataFrame:
         """The turns of valid conversations: conversation_id, turn (from 1), timestamp, role, text. Equal times are ordered by message_id."""
         valid = self.verdicts().where("valid").select("conversation_id")
         turn = F.row_number().over(Window.partitionBy("conversation_id").orderBy("timestamp", "message_id"))
-        return self._whole_messages().join(valid, "conversation_id", "left_semi").select("conversation_id", turn.cast("long").alias("turn"), "message_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "role", "text")
+        return self.messages().join(valid, "conversation_id", "left_semi").select("conversation_id", turn.cast("long").alias("turn"), "message_id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "role", "text")
 
 
 def rebuild(spark: SparkSession, source: str, **options) -> Conversations:

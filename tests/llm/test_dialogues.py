@@ -76,6 +76,38 @@ def test_long_silence_does_not_split_a_closed_input(spark):
     assert turns == [("1", "inbound", "oi"), ("2", "outbound", "oi"), ("3", "inbound", "a"), ("4", "outbound", "oi")]
 
 
+def test_rows_too_late_for_the_stream_are_counted_and_brought_in(spark):
+    day = 60 * 24
+    path = stored(spark, [row("q", "1"), row("w", "1"), row("w", "2", 5, "outbound"), row("k", "1"), row("k", "2", 5, "outbound"), row("new", "1", 400 * day), row("new", "2", 400 * day + 1, "outbound")])
+    c = d.Conversations(spark, path)
+    c.advance()
+    c.advance()
+    assert c.dropped().count() == 0 and {r["conversation_id"] for r in c.messages().collect()} == {"q", "w", "k"}
+    # a late answer, a late copy that contradicts, a whole late conversation
+    stored(spark, [row("q", "2", 5, "outbound"), row("w", "2", 5, "inbound"), *good("gone")], path)
+    c.advance()
+    assert c.dropped().count() > 0
+    assert {(r[0], r[1]) for r in c.late().collect()} == {("w", "2")}  # not emitted yet, as the input is open: q 2 and gone
+    c.close()
+    assert {(r[0], r[1], r[2]) for r in c.late().collect()} == {("q", "2", 1), ("w", "2", 1), ("gone", "1", 1), ("gone", "2", 1)}
+    assert {r["conversation_id"]: r["valid"] for r in c.verdicts().collect()} == {"q": True, "w": False, "k": True, "gone": True, "new": True}
+    assert {(r["message_id"], r["role"]) for r in c.dialogues().where("conversation_id = 'q'").collect()} == {("1", "inbound"), ("2", "outbound")}
+
+
+def test_one_current_verdict_while_the_input_is_open(spark):
+    day = 60 * 24
+    path = stored(spark, [row("p", "1"), row("x", "1", 10 * day)])
+    c = d.Conversations(spark, path)
+    c.advance()
+    for at in (200, 400, 600, 800):
+        stored(spark, [row("p", "2", 200 * day, "outbound")] if at == 200 else [], path)
+        stored(spark, [row("x", str(at), at * day)], path)
+        c.advance()
+        c.advance()
+    rows = [(r["n_messages"], r["valid"]) for r in c.verdicts().where("conversation_id = 'p'").collect()]
+    assert rows == [(2, True)]
+
+
 def test_hot_conversation(spark):
     rows = [row("hot", str(i), i, ["inbound", "outbound"][i % 2]) for i in range(3000)] + [r for i in range(50) for r in good(f"c{i}")]
     v = d.rebuild(spark, stored(spark, rows)).verdicts()
