@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import os
 import re
 import sys
 import threading
@@ -23,6 +24,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     p = argparse.ArgumentParser(prog="talkmill")
     p.add_argument("--source", required=True, help="folder of raw parquet files")
     p.add_argument("--root", required=True, help="folder of the tables")
+    p.add_argument("--control", default="", help="folder on this disk for the manifest, lock and logs; the root unless given")
     sub = p.add_subparsers(dest="command", required=True)
     sub.add_parser("ingest").add_argument("file")
     for name in ("silver", "gold"):
@@ -30,9 +32,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     sub.add_parser("run-once")
     sub.add_parser("run-forever").add_argument("--passes", type=int)
     a = p.parse_args(argv)
-    settings = layers.Settings(a.source, a.root)
+    settings = layers.Settings(a.source, a.root, control=a.control)
     spark = spark or local_session("*", 8)
-    manifest = Manifest(f"{a.root}/manifest.db")
+    os.makedirs(settings.control, exist_ok=True)
+    manifest = Manifest(f"{settings.control}/manifest.db")
     try:
         if a.command == "ingest":
             batch = identify(a.file)
@@ -41,7 +44,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                 return 0
             print(batch.batch_id, layers.run_layer(spark, settings, manifest, batch, "bronze"))
         elif a.command in ("silver", "gold"):
-            batch = next((b for b in discover(a.source) if b.batch_id == a.batch_id), None)
+            batch = next((b for b in discover(a.source, spark, manifest) if b.batch_id == a.batch_id), None)
             if batch is None:
                 print(f"no source file of batch {a.batch_id}", file=sys.stderr)
                 return 1

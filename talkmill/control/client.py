@@ -82,3 +82,34 @@ class Client:
             except Transient as e:
                 last = e
         raise Exhausted(f"no answer after {self.attempts} attempts") from last
+
+
+class NoStore:
+    """On executors answers are kept by the table that they're written to, not by the caller."""
+
+    def reply(self, key: str) -> str | None:
+        return None
+
+    def keep_reply(self, key: str, model: str, reply: str) -> None:
+        pass
+
+
+@dataclass
+class Calls:
+    """What a layer needs to ask an outside model: the sender (it must pickle), the request's fixed parts and the limits.
+
+    `budget` bounds the new calls of a batch, `concurrency` how many tasks call at once.
+    """
+
+    send: Callable[[str, str, str, int, float], str]
+    model: str
+    system: str
+    second: str | None = None
+    max_tokens: int = 256
+    temperature: float = 0.0
+    budget: int = 1000
+    concurrency: int = 16
+
+    def __call__(self, text: str) -> str:
+        """Asks with retries; runs in a task."""
+        return Client(self.send, NoStore(), self.model, self.second).ask(self.system, text, self.max_tokens, self.temperature)

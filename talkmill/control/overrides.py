@@ -21,6 +21,14 @@ from pyspark.sql import functions as F
 LONGEST = 1000
 
 
+class PatternBroken(ValueError):
+    """A pattern no longer finds what it must, on the given samples."""
+
+    def __init__(self, name: str, failing: list[str]):
+        super().__init__(f"pattern {name} misses {len(failing)} samples")
+        self.name, self.failing = name, failing
+
+
 def load(path: str) -> dict[str, dict[str, str]]:
     """batch id -> name -> pattern; {} for a missing or unreadable file."""
     try:

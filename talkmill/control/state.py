@@ -9,18 +9,22 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("bronze", "silver", "gold")
-OPEN, DONE, FAILED = "IN_PROGRESS", "COMPLETED", "FAILED"
+OPEN, DONE, FAILED, INTERRUPTED = "IN_PROGRESS", "COMPLETED", "FAILED", "INTERRUPTED"
 LONGEST_ERROR = 512
+# Tables and columns `batches` and `runs`, and the statuses, of the data contract.
 DDL = """
 CREATE TABLE IF NOT EXISTS batches (batch_id TEXT PRIMARY KEY, source_path TEXT NOT NULL, source_hash TEXT NOT NULL, source_mtime INTEGER NOT NULL,
   status TEXT NOT NULL CHECK (status IN ('IN_PROGRESS', 'COMPLETED', 'FAILED')), rows_read INTEGER, rows_written INTEGER, error TEXT, started_at TEXT NOT NULL, finished_at TEXT);
 CREATE TABLE IF NOT EXISTS runs (run_id INTEGER PRIMARY KEY, batch_id TEXT NOT NULL REFERENCES batches ON DELETE CASCADE, layer TEXT NOT NULL CHECK (layer IN ('bronze', 'silver', 'gold')),
   status TEXT NOT NULL CHECK (status IN ('IN_PROGRESS', 'COMPLETED', 'FAILED')), rows_in INTEGER, rows_out INTEGER, rows_rejected INTEGER, error TEXT, started_at TEXT NOT NULL, finished_at TEXT);
 CREATE INDEX IF NOT EXISTS runs_by_batch ON runs (batch_id, layer, started_at);
-CREATE TABLE IF NOT EXISTS loop_runs (loop_id INTEGER PRIMARY KEY, status TEXT NOT NULL, batches INTEGER, failures INTEGER, started_at TEXT NOT NULL, finished_at TEXT);
-CREATE TABLE IF NOT EXISTS failures (failure_id INTEGER PRIMARY KEY, loop_id INTEGER, batch_id TEXT NOT NULL, layer TEXT NOT NULL, kind TEXT NOT NULL, attempt INTEGER NOT NULL, error TEXT, fix TEXT, escalated INTEGER NOT NULL DEFAULT 0, at TEXT NOT NULL);
+CREATE TABLE IF NOT EXISTS loop_runs (loop_id INTEGER PRIMARY KEY, status TEXT NOT NULL CHECK (status IN ('IN_PROGRESS', 'COMPLETED', 'FAILED', 'INTERRUPTED')), batches INTEGER, failures INTEGER, started_at TEXT NOT NULL, finished_at TEXT);
+CREATE TABLE IF NOT EXISTS failures (failure_id INTEGER PRIMARY KEY, loop_id INTEGER REFERENCES loop_runs ON DELETE CASCADE, batch_id TEXT NOT NULL, layer TEXT NOT NULL, kind TEXT NOT NULL, attempt INTEGER NOT NULL, error TEXT, fix TEXT, escalated INTEGER NOT NULL DEFAULT 0, at TEXT NOT NULL);
 CREATE TABLE IF NOT EXISTS replies (key TEXT PRIMARY KEY, model TEXT NOT NULL, reply TEXT NOT NULL, at TEXT NOT NULL);
+CREATE TABLE IF NOT EXISTS files (path TEXT PRIMARY KEY, size INTEGER NOT NULL, mtime_ms INTEGER NOT NULL, source_hash TEXT NOT NULL);
 """
+#: Columns that came later: added to a manifest made before them, whose rows keep nulls.
+ADDED = {"runs": {"rows_deduped": "INTEGER", "output_path": "TEXT"}}
 
 
 def now() -> str:
@@ -36,6 +40,11 @@ class Manifest:
         self.db.execute("PRAGMA journal_mode = WAL")
         self.db.execute("PRAGMA foreign_keys = ON")
         self.db.executescript(DDL)
+        for table, columns in ADDED.items():
+            there = {r["name"] for r in self.db.execute(f"PRAGMA table_info({table})")}
+            for name, kind in columns.items():
+                if name not in there:
+                    self.db.execute(f"ALTER TABLE {table} ADD COLUMN {name} {kind}")
         for table in ("batches", "runs"):
             self.db.execute(f"UPDATE {table} SET status = 'FAILED', error = 'left open', finished_at = ? WHERE status = 'IN_PROGRESS'", (now(),))
 
@@ -73,11 +82,10 @@ class Manifest:
     def open_run(self, batch_id: str, layer: str) -> int:
         return self.db.execute("INSERT INTO runs (batch_id, layer, status, started_at) VALUES (?, ?, 'IN_PROGRESS', ?)", (batch_id, layer, now())).lastrowid
 
-    def end_run(self, run_id: int, error: str | None = None, **rows: int | None) -> None:
-        self.db.execute(
-            "UPDATE runs SET status = ?, error = ?, rows_in = COALESCE(?, rows_in), rows_out = COALESCE(?, rows_out), rows_rejected = COALESCE(?, rows_rejected), finished_at = ? WHERE run_id = ?",
-            (FAILED if error else DONE, error and error[:LONGEST_ERROR], rows.get("rows_in"), rows.get("rows_out"), rows.get("rows_rejected"), now(), run_id),
-        )
+    def end_run(self, run_id: int, error: str | None = None, output_path: str | None = None, **rows: int | None) -> None:
+        counts = ("rows_in", "rows_out", "rows_rejected", "rows_deduped")
+        kept = ", ".join(f"{c} = COALESCE(?, {c})" for c in (*counts, "output_path"))
+        self.db.execute(f"UPDATE runs SET status = ?, error = ?, {kept}, finished_at = ? WHERE run_id = ?", (FAILED if error else DONE, error and error[:LONGEST_ERROR], *[rows.get(c) for c in counts], output_path, now(), run_id))
 
     def latest_run(self, batch_id: str, layer: str) -> dict | None:
         return self._one("SELECT * FROM runs WHERE batch_id = ? AND layer = ? ORDER BY started_at DESC, run_id DESC LIMIT 1", batch_id, layer)
@@ -95,8 +103,8 @@ class Manifest:
     def open_loop(self) -> int:
         return self.db.execute("INSERT INTO loop_runs (status, started_at) VALUES ('IN_PROGRESS', ?)", (now(),)).lastrowid
 
-    def end_loop(self, loop_id: int, batches: int, failures: int, crashed: bool = False) -> None:
-        self.db.execute("UPDATE loop_runs SET status = ?, batches = ?, failures = ?, finished_at = ? WHERE loop_id = ?", (FAILED if crashed or failures else DONE, batches, failures, now(), loop_id))
+    def end_loop(self, loop_id: int, batches: int, failures: int, status: str = DONE) -> None:
+        self.db.execute("UPDATE loop_runs SET status = ?, batches = ?, failures = ?, finished_at = ? WHERE loop_id = ?", (FAILED if failures and status == DONE else status, batches, failures, now(), loop_id))
 
     def record_failure(self, loop_id: int, batch_id: str, layer: str, kind: str, error: str) -> int:
         attempt = self.attempts(batch_id, layer, kind) + 1
@@ -121,9 +129,17 @@ class Manifest:
         plain = prefix.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
         return self.db.execute("DELETE FROM replies WHERE key LIKE ? ESCAPE '\\'", (plain + "%",)).rowcount
 
+    # hashes of source files
+    def known_hash(self, path: str, size: int, mtime_ms: int) -> str | None:
+        row = self._one("SELECT source_hash FROM files WHERE path = ? AND size = ? AND mtime_ms = ?", path, size, mtime_ms)
+        return row and row["source_hash"]
+
+    def keep_hash(self, path: str, size: int, mtime_ms: int, source_hash: str) -> None:
+        self.db.execute("INSERT OR REPLACE INTO files VALUES (?, ?, ?, ?)", (path, size, mtime_ms, source_hash))
+
     def view(self, spark: SparkSession, table: str) -> DataFrame:
         """A table as a DataFrame: one row per batch, run or failure, small by nature."""
-        if table not in ("batches", "runs", "loop_runs", "failures", "replies"):
+        if table not in ("batches", "runs", "loop_runs", "failures", "replies", "files"):
             raise ValueError(table)
         rows = [tuple(r) for r in self.db.execute(f"SELECT * FROM {table}")]
         info = self.db.execute(f"PRAGMA table_info({table})").fetchall()

@@ -30,12 +30,12 @@ def mask_email(c: Column) -> Column:
     return F.when(c.rlike(EMAIL), F.array_join(woven, "")).otherwise(c)
 
 
-def mask_cpf(c: Column) -> Column:
-    return F.regexp_replace(c, CPF, "***.***.***-**")
+def mask_cpf(c: Column, pattern: str = CPF) -> Column:
+    return F.regexp_replace(c, pattern, "***.***.***-**")
 
 
-def mask_cep(c: Column) -> Column:
-    return F.regexp_replace(c, CEP, "*****-***")
+def mask_cep(c: Column, pattern: str = CEP) -> Column:
+    return F.regexp_replace(c, pattern, "*****-***")
 
 
 def mask_phone(c: Column) -> Column:
@@ -46,9 +46,14 @@ def mask_plates(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, PLATE_NEW, r"***$2$3**"), PLATE_OLD, r"***-**$2")
 
 
-def mask_body(c: Column) -> Column:
-    """All masks in the order that matters: formatted numbers before phones."""
-    return mask_plates(mask_phone(mask_cep(mask_cpf(mask_email(c)))))
+#: Patterns that an override may replace for a batch.
+REPLACEABLE = {"cpf": CPF, "cep": CEP, "phone": PHONE}
+
+
+def mask_body(c: Column, patterns: dict[str, str] | None = None) -> Column:
+    """All masks in the order that matters: formatted numbers before phones. `patterns` may replace those of `cpf` and `cep`."""
+    own = REPLACEABLE | (patterns or {})
+    return mask_plates(mask_phone(mask_cep(mask_cpf(mask_email(c), own["cpf"]), own["cep"])))
 
 
 def mask_sender(c: Column) -> Column:
@@ -75,16 +80,21 @@ def email_domain(c: Column) -> Column:
     return F.when(c.rlike(EMAIL), F.lower(F.concat(F.regexp_extract(c, EMAIL, 2), F.lit("."), F.regexp_extract(c, EMAIL, 3))))
 
 
-def has_cpf(c: Column) -> Column:
-    return F.coalesce(c.rlike(CPF), F.lit(False))
+def has_cpf(c: Column, pattern: str = CPF) -> Column:
+    return F.coalesce(c.rlike(pattern), F.lit(False))
 
 
 def cep_prefix(c: Column) -> Column:
     return F.nullif(F.regexp_extract(c, r"\b(\d{5})-?\d{3}\b", 1), F.lit(""))
 
 
-def has_phone(c: Column) -> Column:
-    return F.coalesce(c.rlike(PHONE), F.lit(False))
+def has_phone(c: Column, pattern: str = PHONE) -> Column:
+    return F.coalesce(c.rlike(pattern), F.lit(False))
+
+
+def fingerprint(c: Column) -> Column:
+    """16 hex digits that stand for a text in logs, where the text itself mustn't be."""
+    return F.substring(F.sha2(c.cast("binary"), 256), 1, 16)
 
 
 def plate_format(c: Column) -> Column:

@@ -1,12 +1,18 @@
 """At-least-once delivery made exactly-once: one row per identifier, across any number of loads.
 
-Identifiers are encoded exactly: a shard (a hash of the identifier) keeps a dictionary from identifier to a
-dense code and a compressed bitmap of the codes that were seen. Of each identifier whose bit isn't set one
-arrival is selected, and the new bits are united with the old ones by switching one pointer file.
-
-Copies are combined before they are shuffled (`groupBy` with partial aggregation), so an identifier that holds
-any share of the rows crosses the network once per task. The encoding step streams over rows sorted within a
-shard: its memory is the shard's bitmap (one bit per identifier of the shard), never the shard's rows.
+Identifiers are encoded exactly: a shard (a hash of the identifier) keeps a dictionary from identifier to a dense code
+and a compressed bitmap of the codes that were seen. Arrivals meet the bitmap one identifier at a time: where the bit
+isn't set one arrival is admitted and the bit is set; all other arrivals are refused. The new bits are united with the
+old ones by switching one pointer file.
+
+Copies are combined before they are shuffled (`groupBy` with partial aggregation), so an identifier that holds any
+share of the rows crosses the network once per task; only the keys and the rank of the best copy take part, and the
+chosen rows are fetched by one join at the end. The encoding step streams over rows sorted within a shard: its memory
+is one bit per identifier of the shard.
+
+The dictionary is written before the bits are switched. A load that is lost in between leaves codes without bits: the
+next one finds the codes and, as their bits aren't set, admits their arrivals. Of the stored dictionary a load shuffles
+no more than the entries of its own identifiers (a semi-join by hash, no sort), and of the bitmaps those of its shards.
 """
 
 from __future__ import annotations
@@ -22,27 +28,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Shards of the dictionary; a setting of the stored state, so it can't change between loads of one state folder.
-SHARDS = 256
+from talkmill.session import written
+
+#: Shards of the dictionary; a setting of the stored state, so it can't change between loads of one state folder. It
+#: bounds the tasks of the encoding step, not their size.
+SHARDS = 4096
 BITS, KNOWN, ARRIVED = 0, 1, 2
 
 
 class Bitmap:
-    """Growing bitmap of dense codes, stored as zlib-compressed packed bits."""
+    """Growing bitmap of dense codes: packed in memory, compressed where it's stored."""
 
     def __init__(self, blob: bytes | None = None):
-        self.bits = np.unpackbits(np.frombuffer(zlib.decompress(blob), np.uint8)) if blob else np.zeros(1024, np.uint8)
+        self.packed = np.frombuffer(zlib.decompress(blob), np.uint8).copy() if blob else np.zeros(128, np.uint8)
 
     def take(self, codes: np.ndarray) -> np.ndarray:
         """True for each code that wasn't seen; all given codes are seen from now on. `codes` are distinct."""
-        if len(codes) and codes.max() >= len(self.bits):
-            self.bits = np.concatenate([self.bits, np.zeros(max(len(self.bits), int(codes.max()) + 1 - len(self.bits)), np.uint8)])
-        fresh = self.bits[codes] == 0
-        self.bits[codes] = 1
+        at, bit = codes >> 3, (1 << (codes & 7)).astype(np.uint8)
+        if len(codes) and (most := int(at.max())) >= len(self.packed):
+            self.packed = np.concatenate([self.packed, np.zeros(max(len(self.packed), most + 1 - len(self.packed)), np.uint8)])
+        fresh = (self.packed[at] & bit) == 0
+        np.bitwise_or.at(self.packed, at, bit)
         return fresh
 
     def blob(self) -> bytes:
-        return zlib.compress(np.packbits(self.bits).tobytes(), 1)
+        return zlib.compress(self.packed.tobytes(), 1)
 
 
 def _encode(keys: list[str]):
@@ -59,7 +69,7 @@ def _encode(keys: list[str]):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fields = [*batch.schema, pa.field("is_new", pa.bool_())]
+            fields = [*batch.schema, pa.field("is_new", pa.bool_()), pa.field("fresh", pa.bool_())]
             schema = schema or pa.schema(fields)
             shards = batch.column("shard").to_numpy(zero_copy_only=False)
             kinds = batch.column("kind").to_numpy(zero_copy_only=False)
@@ -73,7 +83,7 @@ def _encode(keys: list[str]):
             key0 = tuple(batch.column(k)[0].as_py() for k in keys)
             changed[0] = (shard, last_key) != (shards[0], key0)
             changed[1:] |= shards[1:] != shards[:-1]
-            is_new = np.zeros(n, bool)
+            is_new, fresh = np.zeros(n, bool), np.zeros(n, bool)
             edges = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1), n]
             for a, b in zip(edges[:-1], edges[1:]):
                 if shards[a] != shard:
@@ -90,6 +100,7 @@ def _encode(keys: list[str]):
                 fresh_key = changed[a:b] & ~known
                 if a > 0 and kinds[a - 1] == BITS:
                     fresh_key[0] = not known[0]
+                fresh[a:b] = fresh_key
                 c = code[a:b]
                 number = following + np.cumsum(fresh_key) - 1
                 c[fresh_key] = number[fresh_key]
@@ -102,7 +113,7 @@ def _encode(keys: list[str]):
                 is_new[a:b][arrived] = bitmap.take(c[arrived])
                 last_code = int(c[-1])
             last_key = tuple(batch.column(k)[n - 1].as_py() for k in keys)
-            cols = {f.name: batch.column(f.name) for f in batch.schema} | {"code": pa.array(code, pa.int64()), "is_new": pa.array(is_new)}
+            cols = {f.name: batch.column(f.name) for f in batch.schema} | {"code": pa.array(code, pa.int64()), "is_new": pa.array(is_new), "fresh": pa.array(fresh)}
             out = pa.RecordBatch.from_arrays([cols[f.name] for f in schema], schema=schema)
             yield out.filter(pa.array(kinds == ARRIVED))
         if bitmap is not None:
@@ -146,7 +157,7 @@ def deliver_once(
     payload: bool = True,
     shards: int = SHARDS,
 ) -> DataFrame:
-    """One row per identifier of `arrivals`: the keys, n_rows (copies in this load), is_new (not seen in an earlier load) and, with `payload`, arrival (the whole chosen row as a struct).
+    """One row per identifier of `arrivals`: the keys, n_rows (copies in this load), is_new (an arrival was admitted: its bit wasn't set), refused (arrivals that met a set bit) and, with `payload`, arrival (the whole chosen row as a struct).
 
     Rows with a null in any key take no part. Of several copies the one that is first by `order` (nulls last)
     remains; equal ones are told apart by a hash of the whole row, and if that is equal too they're the same row.
@@ -156,40 +167,69 @@ def deliver_once(
     """
     spark = arrivals.sparkSession
     keys_, order_ = list(keys), [c for c in order if c in arrivals.columns]
-    rows = arrivals.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys_))
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    if payload:
-        whole = F.struct(*[F.col(f"`{c}`") for c in arrivals.columns])
-        plain = [F.col(f"`{f.name}`") for f in arrivals.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-        rank = F.struct(*[x for c in order_ for x in (F.col(c).isNull(), F.col(c))], F.xxhash64(*plain))
-        aggs.append(F.min_by(whole, rank).alias("arrival"))
-    once = rows.groupBy(*[F.col(f"`{k}`").alias(f"key_{i}") for i, k in enumerate(keys_)]).agg(*aggs)
     names = [f"key_{i}" for i in range(len(keys_))]
+    named = [F.col(f"`{k}`").alias(n) for k, n in zip(keys_, names)]
+    rows = arrivals.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys_))
+    plain = [F.col(f"`{f.name}`") for f in arrivals.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    print_ = F.xxhash64(*plain)
+    rank = F.struct(*[x for c in order_ for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))], print_)
+    aggs = [F.count(F.lit(1)).alias("n_rows"), *([F.min_by(print_, rank).alias("chosen")] if payload else [])]
+    once = rows.groupBy(*named).agg(*aggs)
     shard = F.pmod(F.xxhash64(*names), F.lit(shards)).cast("int")
-    now = once.select(shard.alias("shard"), F.lit(ARRIVED).alias("kind"), *names, F.lit(None).cast("long").alias("code"), F.lit(None).cast("binary").alias("bits"), *[c for c in once.columns if c not in names])
-    seen = _current(spark, state) if state else None
+    none = {"code": F.lit(None).cast("long"), "bits": F.lit(None).cast("binary")}
+    now = once.select(shard.alias("shard"), F.lit(ARRIVED).alias("kind"), *names, none["code"].alias("code"), none["bits"].alias("bits"), *[c for c in once.columns if c not in names])
+    seen, load = (_current(spark, state) if state else None), None
     every = now
-    if seen:
-        if seen["shards"] != shards or seen["keys"] != keys_:
+    if state:
+        load = f"load-{(seen or {}).get('n', 0) + 1:06d}"
+        if seen and (seen["shards"] != shards or seen["keys"] != keys_):
             raise ValueError(f"{state} was made with keys {seen['keys']} and {seen['shards']} shards")
-        kept = spark.read.parquet(*[f"{state}/{x}" for x in seen["dictionary"]]).select("shard", F.lit(KNOWN).alias("kind"), *names, "code", F.lit(None).cast("binary").alias("bits"))
-        bits = spark.read.parquet(f"{state}/{seen['bits']}").select("shard", F.lit(BITS).alias("kind"), *[F.lit(None).cast("string").alias(n) for n in names], "code", "bits")
-        every = now.unionByName(kept.unionByName(bits), allowMissingColumns=True)
+        now = written(now, "arrivals")
+        every = now
+        if parts := _dictionaries(spark, state):
+            known = spark.read.parquet(*parts).select("shard", *names, "code")
+            known = known.join(now.select("shard", *names).hint("shuffle_hash"), ["shard", *names], "left_semi")
+            every = every.unionByName(known.select("shard", F.lit(KNOWN).alias("kind"), *names, "code", none["bits"].alias("bits")), allowMissingColumns=True)
+            ends = spark.read.parquet(*parts).groupBy("shard").agg((F.max("code") + 1).alias("code"))
+            held = spark.read.parquet(f"{state}/{seen['bits']}").select("shard", "bits") if seen else spark.createDataFrame([], "shard int, bits binary")
+            # at most one row per shard
+            touched = ends.join(held, "shard", "left").join(now.select("shard").distinct(), "shard", "left_semi")
+            every = every.unionByName(touched.select("shard", F.lit(BITS).alias("kind"), *[F.lit(None).cast("string").alias(n) for n in names], "code", "bits"), allowMissingColumns=True)
     placed = every.repartition("shard").sortWithinPartitions("shard", F.col("kind") != BITS, *names, "kind")
-    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in placed.schema], T.StructField("is_new", T.BooleanType())])
+    added = [T.StructField("is_new", T.BooleanType()), T.StructField("fresh", T.BooleanType())]
+    schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in placed.schema], *added])
     coded = placed.mapInArrow(_encode(names), schema)
     if state:
-        load = f"load-{(seen or {}).get('n', 0) + 1:06d}"
         fs, path = _filesystem(spark, state)
-        fs.delete(path(f"{state}/{load}"), True)  # left by a load that didn't come to its switch
-        coded.write.parquet(f"{state}/{load}/coded")
-        coded = spark.read.schema(schema).parquet(f"{state}/{load}/coded")
-        coded.where((F.col("kind") == ARRIVED) & F.col("is_new")).select("shard", *names, "code").write.parquet(f"{state}/{load}/dictionary")
-        fresh_bits = coded.where(F.col("kind") == BITS).select("shard", "code", "bits")
-        fresh_bits.write.parquet(f"{state}/{load}/bits")
-        _switch(spark, state, {"load": load, "n": (seen or {}).get("n", 0) + 1, "shards": shards, "keys": keys_, "dictionary": [*(seen or {}).get("dictionary", []), f"{load}/dictionary"], "bits": f"{load}/bits"})
-    out = [F.col(n).alias(k) for n, k in zip(names, keys_)] + ["n_rows", "is_new"] + (["arrival"] if payload else [])
-    return coded.where(F.col("kind") == ARRIVED).select(*out)
+        # what is left of a load that didn't come to its switch: its dictionary counts, its bits don't
+        part = f"{load}-{len(_dictionaries(spark, state)):06d}"
+        coded = written(coded, "coded")
+        coded.where((F.col("kind") == ARRIVED) & F.col("fresh")).select("shard", *names, "code").write.parquet(f"{state}/dictionary/{part}")
+        fresh_bits = coded.where(F.col("kind") == BITS).select("shard", "bits")
+        if seen:
+            kept = spark.read.parquet(f"{state}/{seen['bits']}").select("shard", "bits")
+            fresh_bits = fresh_bits.unionByName(kept.join(fresh_bits.select("shard"), "shard", "left_anti"))
+        fs.delete(path(f"{state}/bits/{load}"), True)
+        fresh_bits.write.parquet(f"{state}/bits/{load}")
+        _switch(spark, state, {"load": load, "n": (seen or {}).get("n", 0) + 1, "shards": shards, "keys": keys_, "bits": f"bits/{load}"})
+    done = coded.where(F.col("kind") == ARRIVED)
+    out = [F.col(n).alias(k) for n, k in zip(names, keys_)] + ["n_rows", "is_new", (F.col("n_rows") - F.col("is_new").cast("int")).alias("refused")]
+    if not payload:
+        return done.select(*out)
+    whole = F.struct(*[F.col(f"`{c}`") for c in arrivals.columns])
+    source = rows.select(*[F.col(f"`{k}`").alias(f"own_{i}") for i, k in enumerate(keys_)], print_.alias("own_print"), whole.alias("arrival"))
+    same = " AND ".join(["own_print = chosen", *[f"own_{i} = key_{i}" for i in range(len(keys_))]])
+    # copies that are equal in every column are one row
+    return source.join(done.hint("merge"), F.expr(same)).dropDuplicates(names).select(*out, "arrival")
+
+
+def _dictionaries(spark: SparkSession, state: str) -> list[str]:
+    """Finished parts of the dictionary; a part that wasn't written to its end has no mark and counts for nothing."""
+    fs, path = _filesystem(spark, state)
+    home = path(f"{state}/dictionary")
+    if not fs.exists(home):
+        return []
+    return sorted(x.getPath().toString() for x in fs.listStatus(home) if fs.exists(path(f"{x.getPath().toString()}/_SUCCESS")))
 
 
 def unique_rows(arrivals: DataFrame, **options) -> DataFrame:
@@ -198,8 +238,9 @@ def unique_rows(arrivals: DataFrame, **options) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which the bitmap refused an arrival."""
     bronze = spark.read.parquet(f"{sf_dir}/bronze.parquet")
-    return deliver_once(bronze, payload=False).where("n_rows > 1").select("conversation_id", "message_id")
+    return deliver_once(bronze, payload=False).where("refused > 0").select("conversation_id", "message_id")
 
 
 def p4_unique(spark: SparkSession, sf_dir: str) -> DataFrame:

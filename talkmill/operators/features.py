@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 
 #: Entities in one dense block.
 BLOCK = 2048
-#: A wide table has two columns per type; more types than this raise an error, none is dropped.
+#: A wide table has two columns per type; more types than this raise an error, none is dropped. `entity_cells` gives the
+#: same figures in long form for any number of types.
 MAX_TYPES = 5000
 NEVER = np.iinfo(np.int64).min
 
@@ -28,7 +29,7 @@ def event_types(events: DataFrame, kind: str, max_types: int = MAX_TYPES) -> lis
     """The distinct non-null types in code point order; checked against `max_types` before they reach the driver."""
     found = [r[0] for r in events.select(kind).where(F.col(kind).isNotNull()).distinct().limit(max_types + 1).collect()]
     if len(found) > max_types:
-        raise ValueError(f"{kind} has more than {max_types} values: too many columns for a wide table")
+        raise ValueError(f"{kind} has more than {max_types} values: too many columns for a wide table, take entity_cells")
     return sorted(found)
 
 
@@ -98,20 +99,12 @@ def _names(types: list[str]) -> list[str]:
     return ["entity", "total_n", "total_recency_s", "rows_n", "rows_recency_s", *[x for t in types for x in (f"{t}_n", f"{t}_recency_s")]]
 
 
-def entity_features(events: DataFrame, entities: DataFrame, entity: str, link: tuple[str, ...], kind: str, time: str, max_types: int = MAX_TYPES, buckets: int = 4096) -> DataFrame:
-    """One row per non-null `entity` of `entities`, with `<type>_n` and `<type>_recency_s` for each value of `kind` among `events`.
+def _latest(events: DataFrame, time: str) -> int | None:
+    return events.agg(F.unix_micros(F.max(time).cast("timestamp"))).first()[0]  # one number
 
-    `entities` leads from `link` columns to the entity and may hold repeated rows: a pair counts once. Each event
-    row counts, repeated ones too. Recency is whole seconds from the latest to the latest time of all events
-    (null if the entity has no timed event of that type). total_n and total_recency_s are over all types,
-    rows_n and rows_recency_s over all events, with or without a type. Entities without events get zeros and
-    nulls. Events with a null in a link column belong to nobody; null types count in rows_n only; events without
-    time count but have no recency. A type whose columns would clash (with the totals, with another type's
-    in case-insensitive resolution) gets its position in code point order as a suffix: `total#3_n`. Extra columns
-    of either table are ignored. No events: zeros and nulls, no type columns.
-    """
-    types = event_types(events, kind, max_types)
-    anchor = events.agg(F.unix_micros(F.max(time).cast("timestamp"))).first()[0]
+
+def _summed(events: DataFrame, entities: DataFrame, entity: str, link: tuple[str, ...], kind: str, time: str) -> DataFrame:
+    """entity, kind, n, last: one row per cell, and one with a null kind and n = 0 or more for every entity."""
     pairs = entities.select(*[F.col(c).alias(f"l{i}") for i, c in enumerate(link)], F.col(entity).alias("entity")).where(" AND ".join(["entity IS NOT NULL", *[f"l{i} IS NOT NULL" for i in range(len(link))]])).distinct()
     lonely = entities.select(F.col(entity).alias("entity")).where("entity IS NOT NULL").distinct()
     keys = [f"l{i}" for i in range(len(link))]
@@ -121,13 +114,38 @@ def entity_features(events: DataFrame, entities: DataFrame, entity: str, link: t
         .groupBy(*keys, "kind")
         .agg(F.count(F.lit(1)).alias("n"), F.max("at").alias("last"))
     )
-    summed = (
+    return (
         cells.join(pairs, keys)
         .select("entity", "kind", "n", "last")
         .unionByName(lonely.select("entity", F.lit(None).cast("string").alias("kind"), F.lit(0).cast("long").alias("n"), F.lit(None).cast("long").alias("last")))
         .groupBy("entity", "kind")
         .agg(F.sum("n").alias("n"), F.max("last").alias("last"))
     )
+
+
+def entity_cells(events: DataFrame, entities: DataFrame, entity: str, link: tuple[str, ...], kind: str, time: str) -> DataFrame:
+    """The filled cells of the feature table in long form, for any number of types: entity, type, n, recency_s (see `entity_features`)."""
+    anchor = _latest(events, time)
+    cells = _summed(events, entities, entity, link, kind, time).where("kind IS NOT NULL")
+    recency = F.floor((F.lit(anchor or 0) - F.col("last")) / 1_000_000).cast("long")
+    return cells.select(F.col("entity").alias(entity), F.col("kind").alias("type"), "n", recency.alias("recency_s"))
+
+
+def entity_features(events: DataFrame, entities: DataFrame, entity: str, link: tuple[str, ...], kind: str, time: str, max_types: int = MAX_TYPES, buckets: int = 4096) -> DataFrame:
+    """One row per non-null `entity` of `entities`, with `<type>_n` and `<type>_recency_s` for each value of `kind` among `events`.
+
+    `entities` leads from `link` columns to the entity and may hold repeated rows: a pair counts once. Each event
+    row counts, repeated ones too. Recency is whole seconds from the latest to the latest time of all events
+    (null if the entity has no timed event of that type). total_n and total_recency_s are over all types,
+    rows_n and rows_recency_s over all events, with or without a type. Entities without events get zeros and
+    nulls. Events with a null in a link column belong to nobody; null types count in rows_n only; events without
+    time count but have no recency. A type whose columns would clash (with the totals, with another type's
+    in case-insensitive resolution) gets its position in code point order as a suffix: `total#3_n`. Extra columns
+    of either table are ignored. No events: zeros and nulls, no type columns.
+    """
+    types = event_types(events, kind, max_types)
+    anchor = _latest(events, time)
+    summed = _summed(events, entities, entity, link, kind, time)
     placed = summed.withColumn("bucket", F.pmod(F.xxhash64("entity"), F.lit(buckets))).repartition("bucket").sortWithinPartitions("bucket", "entity").drop("bucket")
     taken: set[str] = {n.lower() for n in [entity, *_names([])]}
     labels = []
@@ -152,18 +170,26 @@ def p2_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The filled cells of the wide table in long form: lead_id, type, n, recency_s."""
+    """The filled cells in long form: lead_id, type, n, recency_s."""
+    bronze, silver = spark.read.parquet(f"{sf_dir}/bronze.parquet"), spark.read.parquet(f"{sf_dir}/silver.parquet")
+    return entity_cells(bronze, silver, "lead_id", ("conversation_id", "message_id"), "conversation_outcome", "timestamp")
+
+
+def p2_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table's totals, and what its type columns add up to: filled cells, their counts and their recencies."""
     wide = p2_features(spark, sf_dir)
-    types = [c[:-2] for c in wide.columns[5:] if c.endswith("_n")]
-    cells = F.explode(F.array(*[F.struct(F.lit(t).alias("type"), F.col(f"`{t}_n`").alias("n"), F.col(f"`{t}_recency_s`").alias("recency_s")) for t in types]))
-    return wide.select("lead_id", cells.alias("c")).select("lead_id", "c.*").where("n > 0")
+    types = wide.columns[5:]
+    numbers = F.array(*[F.col(f"`{c}`") for c in types if c.endswith("_n")])
+    ages = F.array(*[F.col(f"`{c}`") for c in types if c.endswith("_recency_s")])
+    sums = [F.size(F.filter(numbers, lambda x: x > 0)).alias("filled"), F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x).alias("cells_n"), F.aggregate(ages, F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0))).alias("ages_s")]
+    return wide.select(*wide.columns[:5], *sums)
 
 
 SQL = {
     "p2_cells": """SELECT lead_id, conversation_outcome AS type, count(*) AS n, date_sub('second', max(timestamp), (SELECT max(timestamp) FROM bronze)) AS recency_s
 FROM (SELECT DISTINCT lead_id, conversation_id, message_id FROM silver WHERE lead_id IS NOT NULL) JOIN bronze USING (conversation_id, message_id)
 WHERE conversation_outcome IS NOT NULL GROUP BY lead_id, conversation_outcome""",
-    "p2_features": """
+    "p2_totals": """
 WITH pairs AS (SELECT DISTINCT lead_id, conversation_id, message_id FROM silver WHERE lead_id IS NOT NULL),
 anchor AS (SELECT max(timestamp) AS latest FROM bronze),
 own AS (SELECT p.lead_id, b.conversation_outcome, b.timestamp, latest, b.batch_id IS NOT NULL OR b.ingested_at IS NOT NULL AS there
@@ -172,10 +198,7 @@ totals AS (SELECT lead_id, count(conversation_outcome) AS total_n,
              date_sub('second', max(timestamp) FILTER (WHERE conversation_outcome IS NOT NULL), any_value(latest)) AS total_recency_s,
              count(*) FILTER (WHERE there) AS rows_n, date_sub('second', max(timestamp), any_value(latest)) AS rows_recency_s
            FROM own GROUP BY lead_id),
-wide AS (PIVOT (SELECT p.lead_id, b.conversation_outcome, b.timestamp, (SELECT max(timestamp) FROM bronze) AS latest
-           FROM (SELECT DISTINCT lead_id, conversation_id, message_id FROM silver WHERE lead_id IS NOT NULL) p
-           LEFT JOIN bronze b USING (conversation_id, message_id)
-           UNION ALL SELECT NULL, conversation_outcome, NULL, NULL FROM bronze WHERE conversation_outcome IS NOT NULL) ON conversation_outcome
-         USING count(*) AS n, min(date_sub('second', timestamp, latest)) AS recency_s GROUP BY lead_id)
-SELECT totals.*, wide.* EXCLUDE (lead_id) FROM totals JOIN wide USING (lead_id)""",
+cells AS (SELECT lead_id, count(*) AS n, date_sub('second', max(timestamp), any_value(latest)) AS age FROM own WHERE conversation_outcome IS NOT NULL GROUP BY lead_id, conversation_outcome)
+SELECT totals.*, coalesce(filled, 0)::INT AS filled, coalesce(cells_n, 0)::BIGINT AS cells_n, coalesce(ages_s, 0)::BIGINT AS ages_s
+FROM totals LEFT JOIN (SELECT lead_id, count(*) AS filled, sum(n) AS cells_n, sum(age) AS ages_s FROM cells GROUP BY lead_id) USING (lead_id)""",
 }

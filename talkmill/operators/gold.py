@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.functions import text
-from talkmill.schemas import AGENT_PERFORMANCE, COMPETITOR_INTEL, CONVERSATION_SCORES, LEAD_PROFILE
+from talkmill.schemas import AGENT_PERFORMANCE, COMPETITOR_INTEL, CONVERSATION_SCORES, LABELS, LEAD_PROFILE
 
 #: The outcome that counts as closed.
 CLOSED = "venda_fechada"
@@ -84,7 +84,14 @@ def lead_profile(silver: DataFrame) -> DataFrame:
         F.min("timestamp").alias("first_seen_at"),
         F.max("timestamp").alias("last_seen_at"),
     )
-    return closed.join(shown, "lead_id").withColumn("close_rate", F.col("closed_count") / F.col("conversations")).select(*LEAD_PROFILE.fieldNames())
+    whole = closed.join(shown, "lead_id").withColumn("close_rate", F.col("closed_count") / F.col("conversations"))
+    return whole.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in LABELS else F.col(f.name) for f in LEAD_PROFILE])
+
+
+def label_counts(table: DataFrame, labels: tuple[str, ...]) -> DataFrame:
+    """label, value, count: how often each value (null too) of the label columns occurs; one row per label and value."""
+    each = F.explode(F.array(*[F.struct(F.lit(x).alias("label"), F.col(x).cast("string").alias("value")) for x in labels]))
+    return table.select(each.alias("x")).groupBy("x.label", "x.value").agg(F.count(F.lit(1)).alias("count"))
 
 
 def anchor(silver: DataFrame) -> DataFrame:

@@ -7,7 +7,9 @@ answers are written before they're joined, so a retried task repeats at most its
 
 from __future__ import annotations
 
+import hashlib
 import json
+import logging
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 
 from talkmill.session import written
 
+log = logging.getLogger("talkmill.model")
 ENTITIES = {"concorrente_mencionado": str, "veiculo_marca": str, "veiculo_modelo": str, "veiculo_ano": int, "valor_pago_atual_brl": float, "sinistro_historico": bool}
 ANSWER = "veiculo_marca string, veiculo_modelo string, veiculo_ano int, concorrente_mencionado string, valor_pago_atual_brl double, sinistro_historico boolean"
 LONGEST_REPLY = 4096
@@ -64,7 +67,7 @@ def missing_bodies(rows: DataFrame, cache: DataFrame, key: Callable[[Column], Co
     """key and body of the distinct non-blank texts without a cached answer, at most `budget` of them, by key."""
     texts = rows.select(F.col(body).alias("body")).where("length(trim(body)) > 0").distinct().withColumn("key", key(F.col("body")))
     misses = texts.join(cache.select("key"), "key", "left_anti")
-    return misses.orderBy("key").limit(budget)
+    return within_budget(misses, "key", budget).where("in_budget").drop("in_budget")
 
 
 def fill_entities(rows: DataFrame, call: Callable[[str], str], cache: DataFrame, key: Callable[[Column], Column], budget: int, concurrency: int = 16, body: str = "message_body_masked") -> tuple[DataFrame, DataFrame]:
@@ -76,7 +79,8 @@ def fill_entities(rows: DataFrame, call: Callable[[str], str], cache: DataFrame,
             for text in b["body"]:
                 try:
                     replies.append(call(text))
-                except Exception:  # noqa: BLE001 - the outside model may fail in any way; the row stays empty
+                except Exception as e:  # noqa: BLE001 - the outside model may fail in any way; the row stays empty
+                    log.warning("no reply for text %s: %s", hashlib.sha256(text.encode()).hexdigest()[:16], type(e).__name__)
                     replies.append(None)
             yield pd.DataFrame({"key": b["key"], "reply": replies})
 

@@ -57,8 +57,9 @@ def reconcile_names(rows: DataFrame, key: str = "lead_id", name: str = "sender_n
     return rows.join(winner, key, "left").withColumn(name, F.coalesce("__winner", name)).drop("__winner").select(*rows.columns)
 
 
-def silver_projection(rows: DataFrame, secret: str, transformed_at: datetime | Column, exact_names: bool = True) -> DataFrame:
-    """All Silver columns in one select; model-extracted ones are typed nulls."""
+def silver_projection(rows: DataFrame, secret: str, transformed_at: datetime | Column, exact_names: bool = True, patterns: dict[str, str] | None = None) -> DataFrame:
+    """All Silver columns in one select; model-extracted ones are typed nulls. `patterns` replace built-in ones (see `masking.REPLACEABLE`)."""
+    own = masking.REPLACEABLE | (patterns or {})
     at = transformed_at if isinstance(transformed_at, Column) else F.lit(transformed_at)
     body = F.col("message_body")
     made = {
@@ -66,12 +67,12 @@ def silver_projection(rows: DataFrame, secret: str, transformed_at: datetime | C
         "sender_phone_masked": masking.mask_sender(F.col("sender_phone")),
         "sender_name_normalized": text.normalized_name(F.col("sender_name"), exact_names),
         "lead_id": lead.lead_id(F.col("sender_phone"), secret),
-        "message_body_masked": masking.mask_body(body),
+        "message_body_masked": masking.mask_body(body, own),
         "has_content": masking.has_content(body),
         "email_domain": masking.email_domain(body),
-        "has_cpf": masking.has_cpf(body),
+        "has_cpf": masking.has_cpf(body, own["cpf"]),
         "cep_prefix": masking.cep_prefix(body),
-        "has_phone_mention": masking.has_phone(body),
+        "has_phone_mention": masking.has_phone(body, own["phone"]),
         "plate_format": masking.plate_format(body),
         "audio_confidence": masking.audio_confidence(F.col("message_type"), body),
         "metadata": parsed_metadata(F.col("metadata")),
@@ -82,5 +83,5 @@ def silver_projection(rows: DataFrame, secret: str, transformed_at: datetime | C
     return rows.select(*[(F.lit(None).cast(f.dataType) if f.name in model else made.get(f.name, F.col(f.name))).alias(f.name) for f in SILVER])
 
 
-def silver_transform(valid: DataFrame, secret: str, transformed_at: datetime | Column, exact_names: bool = True) -> DataFrame:
-    return reconcile_names(silver_projection(dedup_events(valid), secret, transformed_at, exact_names)).select(*SILVER.fieldNames())
+def silver_transform(valid: DataFrame, secret: str, transformed_at: datetime | Column, exact_names: bool = True, patterns: dict[str, str] | None = None) -> DataFrame:
+    return reconcile_names(silver_projection(dedup_events(valid), secret, transformed_at, exact_names, patterns)).select(*SILVER.fieldNames())

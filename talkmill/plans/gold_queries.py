@@ -32,6 +32,10 @@ def gold_lead_profile(spark, d):
     return _local(g.lead_profile(_silver(spark, d)))
 
 
+def label_counts(spark, d):
+    return g.label_counts(_silver(spark, d), ("plate_format", "audio_confidence"))
+
+
 def gold_lead_aggregate(spark, d):
     return _local(g.lead_aggregate(_silver(spark, d)))
 
@@ -92,7 +96,7 @@ def insight_top_surprise(spark, d):
     return _local(g.top_surprise(g.label_outcomes(t, _labels(t))))
 
 
-QUERIES = {f.__name__: f for f in (conv_pair_deltas, gold_conversation_scores, gold_lead_profile, gold_lead_aggregate, gold_response_means, gold_phrase_counts, gold_prompt_text, gold_agent_performance, gold_competitor_intel, batch_anchor, insight_ghosting, insight_objections, insight_disengagement, insight_label_outcome, insight_top_surprise)}
+QUERIES = {f.__name__: f for f in (conv_pair_deltas, gold_conversation_scores, gold_lead_profile, label_counts, gold_lead_aggregate, gold_response_means, gold_phrase_counts, gold_prompt_text, gold_agent_performance, gold_competitor_intel, batch_anchor, insight_ghosting, insight_objections, insight_disengagement, insight_label_outcome, insight_top_surprise)}
 
 # SQL -----------------------------------------------------------------------------------------------------------
 _S = "(SELECT *, timestamp AT TIME ZONE 'UTC' AS ts, coalesce(timestamp AT TIME ZONE 'UTC', TIMESTAMP '1900-01-01') AS o1, coalesce(message_id, '') AS o2, coalesce(silver_batch_id, '') AS o3 FROM silver)"
@@ -140,7 +144,8 @@ SQL = {
       SELECT base.*, concorrente_citado, veiculo_marca, veiculo_modelo, veiculo_ano FROM base {_CJ}""",
     "gold_lead_profile": f"""WITH base AS (SELECT lead_id, count(*)::INT AS conversations, count(*) FILTER (WHERE outcome = 'venda_fechada')::INT AS closed_count FROM {_PER_LEAD} GROUP BY lead_id),
         times AS (SELECT lead_id, min(ts) AS first_seen_at, max(ts) AS last_seen_at FROM {_S} GROUP BY lead_id), {_LM}
-      SELECT base.*, round(closed_count / conversations, 6) AS close_rate, sender_name_normalized, dominant_email_domain, dominant_state, dominant_city, first_seen_at, last_seen_at FROM base JOIN times USING (lead_id) {_LJ}""",
+      SELECT base.*, round(closed_count / conversations, 6) AS close_rate, sender_name_normalized, dominant_email_domain, dominant_state, dominant_city, NULL::VARCHAR AS engagement_profile, NULL::VARCHAR AS persona, NULL::DOUBLE AS persona_confidence, NULL::VARCHAR AS sentiment, NULL::DOUBLE AS sentiment_confidence, NULL::VARCHAR AS price_sensitivity, NULL::INT AS intent_score, first_seen_at, last_seen_at FROM base JOIN times USING (lead_id) {_LJ}""",
+    "label_counts": "SELECT 'plate_format' AS label, plate_format AS value, count(*) AS count FROM silver GROUP BY ALL UNION ALL SELECT 'audio_confidence', audio_confidence, count(*) FROM silver GROUP BY ALL",
     "gold_lead_aggregate": f"""WITH c AS (SELECT lead_id, count(*) AS num_msgs, count(*) FILTER (WHERE direction = 'inbound') AS num_msgs_inbound, count(*) FILTER (WHERE direction = 'outbound') AS num_msgs_outbound,
         count(*) FILTER (WHERE metadata.is_business_hours = false) AS off_hours_msgs, count(concorrente_mencionado) > 0 AS mencionou_concorrente, count(DISTINCT nullif(lower(trim(concorrente_mencionado)), '')) AS competitor_count,
         coalesce(bool_or(has_cpf OR email_domain IS NOT NULL OR has_phone_mention), false) AS forneceu_dado_pessoal, max(ts) AS last_message_at, {_LAST} AS row_outcome FROM {_S} WHERE lead_id IS NOT NULL GROUP BY lead_id),

@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
     return {
         "p2_features": features.p2_features,
         "p2_cells": features.p2_cells,
+        "p2_totals": features.p2_totals,
         "p4_found": delivery.p4_found,
         "p4_unique": delivery.p4_unique,
         **silver_queries.QUERIES,

@@ -16,6 +16,10 @@ CLOSED = {"direction": DIRECTIONS, "message_type": MESSAGE_TYPES, "status": STAT
 REJECT_REASONS = {"message_id": "null_message_id", "conversation_id": "null_conversation_id"}
 
 
+class OutOfRange(ValueError):
+    """More rows of a batch were rejected than the installation takes without somebody's knowing."""
+
+
 class SchemaDrift(ValueError):
     """A table's columns, types or closed values differ from what is declared."""
 
@@ -44,7 +48,9 @@ CONVERSATION_SCORES = _struct(
     "conversation_id string, lead_id string, campaign_id string, agent_id string, msgs_inbound int, msgs_outbound int, first_message_at timestamp, last_message_at timestamp, duration_sec bigint, avg_lead_response_sec double,"
     " time_to_first_response_sec double, off_hours_msgs int, mencionou_concorrente boolean, concorrente_citado string, veiculo_marca string, veiculo_modelo string, veiculo_ano int, valor_pago_atual_brl double, sinistro_historico boolean, conversation_outcome string"
 )
-LEAD_PROFILE = _struct("lead_id string, conversations int, closed_count int, close_rate double, sender_name_normalized string, dominant_email_domain string, dominant_state string, dominant_city string, first_seen_at timestamp, last_seen_at timestamp")
+LEAD_PROFILE = _struct("lead_id string, conversations int, closed_count int, close_rate double, sender_name_normalized string, dominant_email_domain string, dominant_state string, dominant_city string, engagement_profile string, persona string, persona_confidence double, sentiment string, sentiment_confidence double, price_sensitivity string, intent_score int, first_seen_at timestamp, last_seen_at timestamp")
+#: Columns of the lead profile that an outside classifier fills; null until then, so "not judged" isn't zero.
+LABELS = ("engagement_profile", "persona", "persona_confidence", "sentiment", "sentiment_confidence", "price_sensitivity", "intent_score")
 AGENT_PERFORMANCE = _struct("agent_id string, conversations int, closed_count int, close_rate double, avg_response_time_sec double, outcome_mix array, top_persona_converted string", outcome_mix=T.ArrayType(_struct("outcome string, count int")))
 COMPETITOR_INTEL = _struct("competitor string, mention_count int, avg_quoted_price_brl double, loss_rate double, top_states array", top_states=T.ArrayType(T.StringType()))
 

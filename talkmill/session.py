@@ -1,8 +1,13 @@
-"""Session settings and the shared folder that every executor can reach."""
+"""Session settings and the shared folder that every executor can reach.
+
+Intermediate tables and stream checkpoints go to `<shared folder>/talkmill/<application id>/`. They're deleted when a
+`scratch` block ends in which they were made, and all that is left of them when the driver ends.
+"""
 
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -38,19 +43,64 @@ def local_session(cores: int | str = 8, partitions: int | None = None, app: str
     return importable(b.getOrCreate())
 
 
+#: Folders made for applications whose setting is unset (local masters only).
+_MADE: dict[str, str] = {}
+#: Paths of the open scratch blocks, innermost last.
+_OPEN: list[list[str]] = []
+_SEEN: set[str] = set()
+
+
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where that is unset (tests) a local one is made."""
+    """The folder named by spark.checkpoint.dir. Where that is unset a local master gets one of its own; a cluster must name one."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="talkmill-")
-        atexit.register(shutil.rmtree, root, True)
-        spark.conf.set("spark.checkpoint.dir", root)
+    if root:
+        return root.rstrip("/")
+    master, app = spark.sparkContext.master, spark.sparkContext.applicationId
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if app not in _MADE:
+        _MADE[app] = tempfile.mkdtemp(prefix="talkmill-")
+        atexit.register(shutil.rmtree, _MADE[app], True)
+    return _MADE[app]
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Deletes paths of any file system, missing ones silently."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for x in paths:
+        path = jvm.org.apache.hadoop.fs.Path(x)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def _own(spark: SparkSession) -> str:
+    root = f"{shared_root(spark)}/talkmill/{spark.sparkContext.applicationId}"
+    if root not in _SEEN:
+        _SEEN.add(root)
+
+        def clear():
+            with contextlib.suppress(Exception):  # the session may be gone before the driver ends
+                remove(spark, root)
+
+        atexit.register(clear)
     return root
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
     """A path of its own under the shared folder for a table or a stream's checkpoint."""
-    return f"{shared_root(spark).rstrip('/')}/talkmill/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{_own(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """What is written inside is deleted at the end; results must have been used or stored elsewhere by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        remove(spark, *_OPEN.pop())
 
 
 def written(df, name: str):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from dataclasses import dataclass
 from pathlib import Path
+from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,16 +37,45 @@ def identify(path: str) -> Batch:
     return Batch(batch_id(h.hexdigest(), mtime), str(p), h.hexdigest(), mtime)
 
 
-def discover(root: str) -> list[Batch]:
-    """Parquet files of a local folder, by batch id; none if the folder is missing."""
-    return sorted(identify(str(p)) for p in Path(root).glob("*.parquet")) if Path(root).is_dir() else []
-
-
-def remote_batches(spark: SparkSession, pattern: str) -> DataFrame:
-    """The same identity for files that only executors reach: batch_id, path, source_hash, source_mtime."""
-    files = spark.read.format("binaryFile").load(pattern)
-    hashed = files.select("path", F.sha2("content", 256).alias("source_hash"), F.unix_seconds("modificationTime").alias("source_mtime"))
-    return hashed.select(F.substring(F.sha2(F.concat_ws(":", "source_hash", F.col("source_mtime").cast("string")).cast("binary"), 256), 1, 12).alias("batch_id"), "path", "source_hash", "source_mtime")
+class Known(Protocol):
+    """Remembers the hash of a file by path, size and modification time; the manifest does."""
+
+    def known_hash(self, path: str, size: int, mtime_ms: int) -> str | None: ...
+    def keep_hash(self, path: str, size: int, mtime_ms: int, source_hash: str) -> None: ...
+
+
+def discover(root: str, spark: SparkSession | None = None, known: Known | None = None) -> list[Batch]:
+    """Parquet files of a folder, by batch id; none if the folder is missing.
+
+    With a session the folder may be on any file system. A file whose path, size and time are `known` isn't read again,
+    so a pass over an unchanged folder lists it and no more; new files are read as streams, in chunks.
+    """
+    if spark is None:
+        return sorted(identify(str(p)) for p in Path(root).glob("*.parquet")) if Path(root).is_dir() else []
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    fs = folder.getFileSystem(conf)
+    if not fs.exists(folder):
+        return []
+    out = []
+    for status in fs.listStatus(folder):
+        name, local = status.getPath().toString(), status.getPath().toUri().getPath()
+        if not name.endswith(".parquet") or not status.isFile():
+            continue
+        path = local if status.getPath().toUri().getScheme() == "file" else name
+        size, mtime_ms = status.getLen(), status.getModificationTime()
+        digest = known.known_hash(path, size, mtime_ms) if known else None
+        if digest is None:
+            stream = fs.open(status.getPath())
+            try:
+                digest = jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+            finally:
+                stream.close()
+            if known:
+                known.keep_hash(path, size, mtime_ms, digest)
+        mtime = mtime_ms // 1000
+        out.append(Batch(batch_id(digest, mtime), path, digest, mtime))
+    return sorted(out)
 
 
 def pending(sources: DataFrame, manifest: DataFrame) -> DataFrame:

@@ -45,13 +45,35 @@ def partition_path(root: str, batch_id: str) -> str:
     return f"{root.rstrip('/')}/batch_id={_safe(batch_id)}"
 
 
+def _aside(batch_id: str) -> str:
+    return f".replaced-{_safe(batch_id)}"
+
+
+def restore(spark: SparkSession, root: str, batch_id: str) -> bool:
+    """Ends a replacement that a crash cut short: the old partition comes back if there's no new one, else it goes. True if it came back."""
+    fs, path = filesystem(spark, root)
+    target, aside = path(partition_path(root, batch_id)), path(f"{root.rstrip('/')}/{_aside(batch_id)}")
+    if not fs.exists(aside):
+        return False
+    if fs.exists(target):
+        fs.delete(aside, True)
+        return False
+    if not fs.rename(aside, target):
+        raise RoundTripError(f"{target} couldn't be brought back")
+    return True
+
+
 def write_partition(df: DataFrame, root: str, batch_id: str, closed: dict | None = None, metrics: list[Column] | None = None) -> Written:
     """Writes `df` beside the table, checks closed sets and row count, and only then puts it in place of the batch's partition.
 
-    The metrics ride on the write itself, so no pruning can remove them. A failed check leaves what was there.
+    The metrics ride on the write itself, so no pruning can remove them. A failed check leaves what was there. The old
+    partition is moved aside before the new one is moved in and deleted last, so a crash at any point loses nothing:
+    `restore` brings it back.
     """
     spark = df.sparkSession
+    restore(spark, root, batch_id)
     target, staging = partition_path(root, batch_id), f"{root.rstrip('/')}/.staging-{uuid.uuid4().hex}"
+    aside = f"{root.rstrip('/')}/{_aside(batch_id)}"
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(out_of_set(closed) if closed else []), *(metrics or []))
     fs, path = filesystem(spark, root)
@@ -64,9 +86,14 @@ def write_partition(df: DataFrame, root: str, batch_id: str, closed: dict | None
         if stored != got["rows"]:
             raise RoundTripError(f"{target}: {stored} rows stored, {got['rows']} written")
         fs.mkdirs(path(root))
-        fs.delete(path(target), True)
+        had = fs.exists(path(target))
+        if had and not fs.rename(path(target), path(aside)):
+            raise RoundTripError(f"{target} couldn't be moved aside")
         if not fs.rename(path(staging), path(target)):
+            restore(spark, root, batch_id)
             raise RoundTripError(f"{target} couldn't be put in place")
+        if had:
+            fs.delete(path(aside), True)
     finally:
         fs.delete(path(staging), True)
     return Written(target, got["rows"], {k: v for k, v in got.items() if k != "rows"})
@@ -113,7 +140,7 @@ def write_json(spark: SparkSession, path: str, value: dict) -> None:
 
 
 def append_jsonl(path: str, record: dict) -> None:
-    """One line, flushed; on the driver."""
+    """One line, flushed; on the driver's disk."""
     with open(path, "a", encoding="utf-8") as f:
         f.write(json.dumps(record, ensure_ascii=False, sort_keys=True, default=str) + "\n")
         f.flush()

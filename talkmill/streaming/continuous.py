@@ -7,6 +7,7 @@ micro-batch that is repeated after a crash changes nothing.
 
 from __future__ import annotations
 
+import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,6 @@ def content_id(raw: DataFrame) -> str:
     """12 hex digits from the rows, whatever their order: a sum and a count of row hashes."""
     h = F.xxhash64(*[F.col(c) for c in schemas.SOURCE_COLUMNS]).cast("decimal(38,0)")
     n, total = raw.agg(F.count(F.lit(1)), F.sum(h)).first()
-    import hashlib
-
     return hashlib.sha256(f"{n}:{total}".encode()).hexdigest()[:12]
 
 
@@ -39,7 +38,7 @@ def process(raw: DataFrame, settings: Settings) -> str | None:
         sinks.write_partition(typed, settings.table("bronze"), batch_id, schemas.CLOSED)
         stored = raw.sparkSession.read.parquet(sinks.partition_path(settings.table("bronze"), batch_id)).withColumn("batch_id", F.lit(batch_id)).select(*schemas.BRONZE.fieldNames())
         valid, rejected = silver.partition_rows(stored, at)
-        sinks.write_partition(silver.silver_transform(valid, settings.secret, at), settings.table("silver"), batch_id)
+        sinks.write_partition(silver.silver_transform(valid, settings.secret, at), settings.table("silver"), batch_id, {k: v for k, v in schemas.CLOSED.items() if k in schemas.SILVER.fieldNames()})
         sinks.write_rejected(rejected, settings.table("silver_rejected"), batch_id)
         table = raw.sparkSession.read.parquet(sinks.partition_path(settings.table("silver"), batch_id))
         for name, build in GOLD.items():

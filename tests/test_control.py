@@ -102,6 +102,38 @@ def test_failed_write_leaves_the_old_partition(spark, tmp_path):
     assert (tmp_path / "d/one.json").read_text().replace("\n", "").replace(" ", "") == '{"a":2}'
 
 
+@pytest.mark.parametrize("moment", ["moved aside", "deleting the old one"])
+def test_a_crash_while_a_partition_is_replaced_loses_nothing(spark, tmp_path, moment):
+    root = str(tmp_path / "t")
+    sinks.write_partition(raw(spark, 3), root, "x")
+    fs, path = sinks.filesystem(spark, root)
+    assert fs.rename(path(f"{root}/batch_id=x"), path(f"{root}/.replaced-x"))
+    if moment == "moved aside":
+        assert sinks.restore(spark, root, "x") and sinks.read_partition(spark, root, "x").count() == 3
+        return
+    raw(spark, 5).write.parquet(f"{root}/batch_id=x")
+    assert not sinks.restore(spark, root, "x") and not fs.exists(path(f"{root}/.replaced-x"))
+    assert sinks.read_partition(spark, root, "x").count() == 5
+
+
+def test_a_failed_rename_brings_the_old_partition_back(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    sinks.write_partition(raw(spark, 3), root, "x")
+    real, path = sinks.filesystem(spark, root)
+
+    class Broken:
+        def __getattr__(self, name):
+            return getattr(real, name)
+
+        def rename(self, a, b):
+            return False if ".staging-" in a.toString() else real.rename(a, b)
+
+    monkeypatch.setattr(sinks, "filesystem", lambda *_: (Broken(), path))
+    with pytest.raises(sinks.RoundTripError):
+        sinks.write_partition(raw(spark, 5), root, "x")
+    assert spark.read.parquet(f"{root}/batch_id=x").count() == 3
+
+
 def test_sources(spark, tmp_path):
     with pytest.raises(tables.MissingSource):
         tables.scan(spark, str(tmp_path / "none"))
@@ -111,9 +143,16 @@ def test_sources(spark, tmp_path):
     f = tmp_path / "f.parquet"
     f.write_bytes(b"abc")
     mine = batches.identify(str(f))
-    there = batches.remote_batches(spark, str(f)).first()
-    assert (there["batch_id"], there["source_hash"]) == (mine.batch_id, mine.source_hash)
-    assert batches.discover(str(tmp_path / "none")) == []
+    own = tmp_path / "own"
+    own.mkdir()
+    (own / "f.parquet").write_bytes(b"abc")
+    known = Manifest(str(tmp_path / "m.db"))
+    there = batches.discover(f"file://{own}", spark, known)
+    assert there == batches.discover(str(own)) == [batches.identify(str(own / "f.parquet"))] and there[0].source_hash == mine.source_hash
+    known.db.execute("UPDATE files SET source_hash = 'remembered'")
+    assert batches.discover(str(own), spark, known)[0].source_hash == "remembered"
+    known.close()
+    assert batches.discover(str(tmp_path / "none")) == batches.discover(str(tmp_path / "none"), spark) == []
 
 
 def test_manifest_and_lock(tmp_path):
@@ -166,6 +205,7 @@ def test_model_lane(spark):
     assert set(lane.parse_reply("[]").values()) == {None} and lane.parse_reply("```json\n" + reply.format("z") + "\n```")["concorrente_mencionado"] == "z"
     ranked = lane.within_budget(rows.select("message_id"), "message_id", 2)
     assert ranked.where("in_budget").count() == 2
+    assert {r["body"] for r in lane.missing_bodies(rows, cache, key, 10).collect()} == {"a", "b"}
 
 
 def test_cli(spark, place, capsys):

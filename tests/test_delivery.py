@@ -25,7 +25,7 @@ def test_one_copy_of_each(spark):
     got = {(r["conversation_id"], r["message_id"]): r for r in deliver_once(table(spark, rows), shards=4).collect()}
     assert {k: r["n_rows"] for k, r in got.items()} == {("c1", "m1"): 2, ("c2", "m1"): 1, ("c1", "m2"): 3, ("c4", "m9"): 1}
     assert got["c1", "m1"]["arrival"]["body"] == "first"
-    assert all(r["is_new"] for r in got.values())
+    assert all(r["is_new"] for r in got.values()) and {k: r["refused"] for k, r in got.items() if r["refused"]} == {("c1", "m1"): 1, ("c1", "m2"): 2}
 
 
 def test_empty_table(spark):
@@ -47,6 +47,7 @@ def test_loads_share_a_state(spark):
     assert unique_rows(one, state=state, shards=4).count() == 50
     again = deliver_once(two, state=state, shards=4).collect()
     assert sum(r["is_new"] for r in again) == 40 and len(again) == 65
+    assert {r["message_id"] for r in again if r["refused"]} == {*(f"m{i}" for i in range(25, 50)), "m89"}
     third = deliver_once(one.union(two), state=state, shards=4).collect()
     assert not any(r["is_new"] for r in third)
     assert unique_rows(table(spark, [row("d", "m1")]), state=state, shards=4).count() == 1
@@ -63,7 +64,9 @@ def test_load_that_stopped_before_its_switch_counts_for_nothing(spark, monkeypat
             deliver_once(df, state=state, shards=2)
         except RuntimeError:
             pass
+    assert len(delivery._dictionaries(spark, state)) == 1  # codes without bits: the bits decide
     assert unique_rows(df, state=state, shards=2).count() == 2
+    assert unique_rows(df, state=state, shards=2).count() == 0
 
 
 @settings(max_examples=15, deadline=None)
@@ -76,5 +79,6 @@ def test_counts_against_brute_force(spark, keys):
 def test_bitmap_round_trip():
     b = Bitmap()
     assert b.take(np.array([1, 5, 9000])).all()
+    assert len(b.packed) < 3000  # bits, not bytes
     again = Bitmap(b.blob())
     assert again.take(np.array([1, 2, 9000])).tolist() == [False, True, False]

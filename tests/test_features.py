@@ -2,7 +2,7 @@ from datetime import datetime
 
 import pytest
 
-from talkmill.operators.features import entity_features
+from talkmill.operators.features import entity_cells, entity_features
 
 EVENTS = "conversation_id string, message_id string, outcome string, at timestamp_ntz, surplus string"
 PAIRS = "lead_id string, conversation_id string, message_id string, outcome string"
@@ -57,3 +57,12 @@ def test_against_brute_force_over_many_blocks(spark):
         for t in range(20):
             assert got.loc[lead, f"t{t}_n"] == sum(e[2] == f"t{t}" for e in own)
     assert got["rows_n"].sum() == len(events)
+
+
+def test_wide_and_long_form_agree(spark):
+    events = [("c", f"m{i % 7}", f"t{i % 5}" if i % 4 else None, at(i % 60) if i % 9 else None, None) for i in range(200)]
+    pairs = [(f"L{i % 3}", "c", f"m{i}", None) for i in range(7)]
+    wide = features(spark, events, pairs).toPandas().set_index("lead_id")
+    cells = entity_cells(spark.createDataFrame(events, EVENTS), spark.createDataFrame(pairs, PAIRS), "lead_id", ("conversation_id", "message_id"), "outcome", "at").collect()
+    assert {(r["lead_id"], r["type"]): r["n"] for r in cells} == {(k, t): wide.loc[k, f"{t}_n"] for k in wide.index for t in (f"t{i}" for i in range(5)) if wide.loc[k, f"{t}_n"]}
+    assert all(r["recency_s"] == wide.loc[r["lead_id"], f"{r['type']}_recency_s"] for r in cells if r["recency_s"] is not None)

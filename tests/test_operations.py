@@ -87,3 +87,146 @@ def test_faults(spark, place):  # noqa: F811
     drop("a.parquet", raw(spark))
     faults.truncate(src)
     assert loop.run_once(spark, settings, manifest).escalated[0][2] in ("corrupt_file", "unknown")
+
+
+def answer(model, system, text, max_tokens, temperature):
+    return json.dumps({"concorrente_mencionado": text[:5], "veiculo_marca": None, "veiculo_modelo": None, "veiculo_ano": 2011, "valor_pago_atual_brl": None, "sinistro_historico": None})
+
+
+def test_model_fills_silver_within_its_budget_and_asks_once(spark, place):  # noqa: F811
+    settings, manifest, _ = place
+    settings.model = client.Calls(answer, "m", "s", budget=4)
+    assert loop.run_once(spark, settings, manifest).failures == 0
+    silver = spark.read.parquet(settings.table("silver"))
+    assert silver.where("veiculo_ano = 2011").count() == 4 and spark.read.parquet(settings.table("model_replies")).count() == 4
+    batch = batches.discover(settings.source)[0].batch_id
+    manifest.invalidate(batch, "silver", "again")
+    loop.run_once(spark, settings, manifest)
+    assert spark.read.parquet(settings.table("silver")).where("veiculo_ano = 2011").count() == 6
+    run = manifest.latest_run(batch, "silver")
+    assert (run["rows_in"], run["rows_rejected"], run["rows_deduped"], run["rows_out"]) == (6, 0, 0, 6) and run["output_path"].endswith(batch)
+    names = [json.loads(x)["event"] for x in open(settings.events)]
+    assert names[0] == "loop_started" and {"layer_started", "layer_completed", "loop_finished"} <= set(names)
+    summary = json.loads(open(f"{settings.table('gold/insights')}/batch_id={batch}/summary.json").read())
+    assert {"ghosting_taxonomy", "objections", "disengagement_moment", "label_outcome", "top_surprise", "generated_at", "batch_id"} == set(summary)
+
+
+def test_overrides_reach_the_masks(spark, place):  # noqa: F811
+    settings, manifest, drop = place
+    drop("a.parquet", raw(spark, message_body="doc 12345678901"))
+    batch = batches.discover(settings.source)[0].batch_id
+    overrides.save(settings.overrides, batch, "cpf", r"\b\d{3}\.?\d{3}\.?\d{3}-?\d{2}\b")
+    loop.run_once(spark, settings, manifest)
+    got = spark.read.parquet(settings.table("silver")).select("message_body_masked", "has_cpf").distinct().collect()
+    assert [tuple(r) for r in got] == [("doc ***.***.***-**", True)]
+
+
+def test_rejected_rows_beyond_the_limit_are_acknowledged_once(spark, place):  # noqa: F811
+    settings, manifest, drop = place
+    settings.most_rejected = 0.1
+    path = f"{settings.source}/a.parquet"
+    for i in range(3):
+        faults.append_row(path, message_id=None, agent_id=f"x{i}")
+    done = loop.run_once(spark, settings, manifest)
+    assert done.failures == 0
+    fixes = [(r["kind"], r["fix"]) for r in manifest.view(spark, "failures").collect()]
+    assert fixes == [("out_of_range", "acknowledged 3 rejected rows")]
+
+
+def test_broken_pattern_is_replaced_or_escalated(spark, place, monkeypatch):  # noqa: F811
+    from talkmill.control import layers
+
+    settings, manifest, _ = place
+    settings.propose = lambda old, failing: r"\d{3}[. ]?\d{3}[. ]?\d{3}-?\d{2}"
+    real = layers.RUNNERS["silver"]
+
+    def silver(spark, settings, manifest, batch):
+        if "cpf" not in overrides.load(settings.overrides).get(batch.batch_id, {}):
+            raise overrides.PatternBroken("cpf", ["123 456 789-01"])
+        return real(spark, settings, manifest, batch)
+
+    monkeypatch.setitem(layers.RUNNERS, "silver", silver)
+    assert loop.run_once(spark, settings, manifest).failures == 0
+    settings.propose = None
+    (__import__("pathlib").Path(settings.overrides)).unlink()
+    manifest.invalidate(batches.discover(settings.source)[0].batch_id, "silver", "again")
+    done = loop.run_once(spark, settings, manifest)
+    assert done.escalated[0][1:] == ("silver", "regex_break")
+    line = json.loads(open(f"{settings.control}/escalations.jsonl").readlines()[-1])
+    assert line["suggested"] == loop.SUGGESTED["regex_break"] and "PatternBroken" in line["error"]
+
+
+def test_unknown_failures_are_asked_about_within_a_budget(spark, place, monkeypatch):  # noqa: F811
+    from talkmill.control import layers
+
+    settings, manifest, drop = place
+    drop("b.parquet", raw(spark, 3))
+    asked = []
+    settings.ask_kind, settings.diagnoses = lambda layer, text: asked.append(text) or "corrupt_file", 1
+
+    def broken(*_):
+        raise RuntimeError("strange sk-abcdefghijk")
+
+    monkeypatch.setitem(layers.RUNNERS, "bronze", broken)
+    done = loop.run_once(spark, settings, manifest)
+    assert [k for _, _, k in done.escalated] == ["corrupt_file", "unknown"] and asked == ["RuntimeError: strange ***"]
+    d = loop.Diagnosis(settings)
+    d.ask = lambda *_: "nonsense"
+    assert d(RuntimeError("x"), "bronze") == "unknown"
+
+
+def test_interruption_is_recorded(spark, place, monkeypatch):  # noqa: F811
+    from talkmill.control import layers
+
+    settings, manifest, _ = place
+
+    def stopped(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setitem(layers.RUNNERS, "bronze", stopped)
+    with pytest.raises(KeyboardInterrupt):
+        loop.run_once(spark, settings, manifest)
+    assert manifest.view(spark, "loop_runs").first()["status"] == "INTERRUPTED"
+
+
+def test_older_manifest_gets_the_new_columns(tmp_path):
+    import sqlite3
+
+    at = str(tmp_path / "old.db")
+    db = sqlite3.connect(at)
+    db.execute("CREATE TABLE runs (run_id INTEGER PRIMARY KEY, batch_id TEXT NOT NULL, layer TEXT NOT NULL, status TEXT NOT NULL, rows_in INTEGER, rows_out INTEGER, rows_rejected INTEGER, error TEXT, started_at TEXT NOT NULL, finished_at TEXT)")
+    db.execute("INSERT INTO runs (batch_id, layer, status, started_at) VALUES ('b', 'silver', 'COMPLETED', 'x')")
+    db.commit()
+    db.close()
+    for _ in range(2):
+        m = Manifest(at)
+        assert m.latest_run("b", "silver")["rows_deduped"] is None
+        m.close()
+
+
+def test_scenarios(spark, place, tmp_path):  # noqa: F811
+    from talkmill.control import perf
+
+    settings, manifest, _ = place
+    stats = perf.run(spark, settings, str(tmp_path / "t.jsonl"))
+    assert {r["scenario"] for r in stats.collect()} == {*perf.SCENARIOS.keys() - {"overhead"}, "overhead_direct", "overhead_loop"}
+    assert events.over_limit(stats, perf.LIMITS) == []
+
+
+def test_scratch_and_shared_folder(spark, monkeypatch):
+    from talkmill import session
+
+    with session.scratch(spark):
+        path = session.work_dir(spark, "x")
+        spark.range(3).write.parquet(path)
+        assert sinks.exists(spark, path)
+    assert not sinks.exists(spark, path)
+    import os
+    import subprocess
+    import sys
+    import tempfile
+
+    code = "from talkmill.session import local_session, written; s = local_session(1, 1); assert written(s.range(3), 'x').count() == 3"
+    with tempfile.TemporaryDirectory() as empty:  # a session without any setting of its own
+        done = subprocess.run([sys.executable, "-c", code], cwd=os.path.dirname(os.path.dirname(__file__)), env=os.environ | {"SPARK_CONF_DIR": empty}, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr[-2000:]
