@@ -154,6 +154,43 @@ _PHONE_DIGITS = f"CASE WHEN length({_LOCAL}) BETWEEN 10 AND 13 THEN {_LOCAL} END
 _PADS = ["".join(f"{x ^ p:02x}" for x in SECRET.encode().ljust(64, b"\0")) for p in (0x36, 0x5C)]
 _LEAD = f"substr(sha256(unhex('{_PADS[1]}') || unhex(sha256(unhex('{_PADS[0]}') || ({_PHONE_DIGITS})::BLOB))), 1, 16)"
 _DOMAIN = rf"CASE WHEN regexp_matches(message_body, '{_EMAIL}') THEN lower(regexp_extract(message_body, '{_EMAIL}', 2) || '.' || regexp_extract(message_body, '{_EMAIL}', 3)) END"
+# Masks. RE2 has no look-around, so the borders of digit runs are marked first: \ue000 before a run, \ue001 after it.
+_S, _E = "\ue000", "\ue001"
+_marked = lambda x: f"regexp_replace(regexp_replace({x}, '([0-9])([^0-9]|$)', '\\1{_E}\\2', 'g'), '(^|[^0-9])([0-9])', '\\1{_S}\\2', 'g')"
+_PHONE_MARKED = rf"(?:(^|[^{_E}])(?:\+{_S}55{_E}?\s?-?\(?{_S}?|\({_S})|{_S}55{_E}?\s?-?\(?{_S}?|{_S})[0-9]{{2}}{_E}?\)?\s?-?{_S}?9?[0-9]{{4}}{_E}?[\s\-]?{_S}?[0-9]{{2}}([0-9]{{2}}){_E}"
+_stars = lambda x: f"substr({x}, 1, 1) || repeat('*', greatest(length({x}) - 1, 4))"
+_parts = lambda x: ", ".join(f"regexp_extract_all({x}, '{_EMAIL}', {i})" for i in (1, 2, 3))
+
+
+def _email_masked(x: str) -> str:
+    label = "split_part(z[3], '.', 1)"
+    return f"CASE WHEN {x} IS NOT NULL THEN array_to_string(list_transform(list_zip(string_split_regex({x}, '{_EMAIL}'), {_parts(x)}), lambda z: z[1] || coalesce({_stars('z[2]')} || '@' || {_stars(label)} || '.' || z[4], '')), '') END"
+
+
+def _phone_masked(x: str) -> str:
+    return f"regexp_replace(regexp_replace({_marked(x)}, '{_PHONE_MARKED}', '\\1+55 (**) *****-**\\2', 'g'), '[{_S}{_E}]', '', 'g')"
+
+
+_cpf_masked = lambda x: f"regexp_replace({x}, '{_CPF}', '***.***.***-**', 'g')"
+_cep_masked = lambda x: f"regexp_replace({x}, '{_CEP}', '*****-***', 'g')"
+_PLATES = (r"\b([A-Z]{3})(\d)([A-Z])(\d{2})\b", r"\b[A-Z]{3}-?(\d{2})(\d{2})\b")
+_new_masked = lambda x: f"regexp_replace({x}, '{_PLATES[0]}', '***\\2\\3**', 'g')"
+_old_masked = lambda x: f"regexp_replace({x}, '{_PLATES[1]}', '***-**\\2', 'g')"
+
+
+def _mask_steps() -> str:
+    """The body after each mask, one subquery per step: columns t0 (as it is) to t6."""
+    source = "(SELECT *, message_body AS t0 FROM bronze)"
+    for i, step in enumerate((_email_masked, _cpf_masked, _cep_masked, _phone_masked, _new_masked, _old_masked)):
+        source = f"(SELECT *, {step(f't{i}')} AS t{i + 1} FROM {source})"
+    return source
+
+
+def _mask_sums() -> str:
+    found = {"email": ("t0", _EMAIL), "cpf": ("t1", _CPF), "cep": ("t2", _CEP), "phone": (_marked("t3"), _PHONE_MARKED), "plate_new": ("t4", _PLATES[0]), "plate_old": ("t5", _PLATES[1])}
+    return ", ".join(f"sum(coalesce(len(regexp_extract_all({x}, '{p}')), 0))::BIGINT AS {n}" for n, (x, p) in found.items())
+
+
 _AUDIO = (
     "CASE WHEN message_type = 'audio' THEN CASE WHEN "
     + " OR ".join(f"contains(lower(coalesce(message_body, '')), '{m}')" for m in masking.NOISE_MARKERS)
@@ -188,6 +225,10 @@ SQL = {
     "silver_dedup": f"SELECT conversation_id, message_id, status, timestamp, batch_id FROM {_DEDUP}",
     "silver_metadata": f"SELECT DISTINCT conversation_id, message_id, batch_id, coalesce(kind = 'OBJECT', false) AS parsed, {_meta('device')} AS device, {_meta('city')} AS city, {_meta('state')} AS state, {_meta('response_time_sec', 'INT')} AS response_time_sec, {_meta('is_business_hours', 'BOOLEAN')} AS is_business_hours, {_meta('lead_source')} AS lead_source FROM {_JSON.format('bronze')}",
     "silver_name_norm": _sql("name", f"nullif(lower(strip_accents({_strip('sender_name')})), '')"),
+    "silver_mask_phone": _sql("masked", f"CASE WHEN length(sender_phone) > 0 THEN CASE WHEN regexp_matches(sender_phone, '{_PHONE}') THEN {_phone_masked('sender_phone')} ELSE regexp_replace(sender_phone, '[0-9]', '*', 'g') END END"),
+    "silver_mask_email": _sql("masked", _email_masked("message_body")),
+    "silver_mask_body": f"SELECT DISTINCT conversation_id, message_id, batch_id, t6 AS masked FROM {_mask_steps()}",
+    "silver_mask_counts": f"SELECT {_mask_sums()} FROM {_mask_steps()}",
     "silver_mask_cpf": _sql("masked", rf"regexp_replace(message_body, '{_CPF}', '***.***.***-**', 'g')"),
     "silver_mask_cep": _sql("masked", rf"regexp_replace(message_body, '{_CEP}', '*****-***', 'g')"),
     "silver_mask_plate": _sql("masked", r"regexp_replace(regexp_replace(message_body, '\b([A-Z]{3})(\d)([A-Z])(\d{2})\b', '***\2\3**', 'g'), '\b[A-Z]{3}-?(\d{2})(\d{2})\b', '***-**\2', 'g')"),
