@@ -64,3 +64,34 @@ def test_nulls_repeats_and_empty(spark):
     assert sorted(str(r["doc_id"]) for r in mixed.collect()) == ["3", "3", "None"] and {r["copies"] for r in mixed.collect()} == {2}
     assert mixing.mix(d.where("false"), t)[0].count() == 0
     assert mixing.mix(d, t.where("false"))[0].count() == 0
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.05, 1e-6])
+def test_low_weights_crowd_no_task_and_equal_a_full_sort(spark, monkeypatch, weight):
+    rows = [(i // 2, f"palavra {i} do texto", "a", "x") for i in range(3000)] + [(9000 + i, "curto", "b", "x") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, key string")
+    targets = spark.createDataFrame([("a", 0.9, 1), ("b", 0.1, 1)], "source string, target_share double, max_repeats int")
+    every = {}
+    for leaf in (10**9, 25):
+        monkeypatch.setattr(mixing, "LEAF", leaf)
+        monkeypatch.setattr(mixing, "BUCKETS", 16)
+        w = F.when(F.col("doc_id") % 7 == 0, 1.0).otherwise(weight)
+        docs = mixing.sized(df, w)
+        plan = mixing.budgets(docs, targets)
+        if leaf == 25:
+            cut = {r["source"]: r for r in mixing._cuts(docs, plan).collect()}["a"]
+            assert docs.where((F.col("source") == "a") & F.col("key").between(cut["lo"], cut["hi"])).count() <= 25
+        every[leaf] = sorted((r["doc_id"], r["n_tokens"], r["copies"]) for r in mixing.mix(df, targets, weight=w)[0].collect())
+    assert every[25] == every[10**9] and 0 < len(every[25]) < 3040
+
+
+def test_report_is_what_the_mixture_holds(spark):
+    d = "/root/testdata/sf0.001"
+    documents, targets = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/mix_targets.parquet")
+    mixed, report = mixing.mix(documents, targets)
+    mixed.createOrReplaceTempView("mixed_p8")
+    want = spark.sql("SELECT source, sum(n_tokens * copies) AS tokens, count(*) AS n_used, sum(n_tokens * copies) / (SELECT sum(n_tokens * copies) FROM mixed_p8) AS share FROM mixed_p8 GROUP BY source")
+    got = {r["source"]: r for r in report.collect()}
+    for r in want.collect():
+        assert (got[r["source"]]["tokens"], got[r["source"]]["n_used"]) == (r["tokens"], r["n_used"]) and abs(got[r["source"]]["share"] - r["share"]) < 1e-12
+    assert sum(g["tokens"] for g in got.values()) == sum(r["tokens"] for r in want.collect())
