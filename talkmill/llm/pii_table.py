@@ -1,182 +1,112 @@
-"""The labelled table from which the tagger of personal information is trained: patterns with marked items.
+"""The labelled table from which the tagger of personal information is trained: texts made by rule, with marked items.
 
-`{kind:slot}` marks an item of that kind, `{slot}` an unmarked filler. A row of the table is a pattern with its slots
-filled by rule, in one of several typings (as written, lower case, upper case, without accents, with a chat tail).
+A text is one or several clauses. A clause is an opening, an item of a kind (`{kind:slot}`) or an unmarked filler
+(`{slot}`), and a closing, each drawn from its list; other clauses have no item at all. Slots are filled by rule, and a
+text is typed in one of several ways (as written, lower case, upper case, without accents, with a chat tail).
+
+For measuring, every fifth opening, closing, plain clause, street word, place and host (by a hash of it) can be held
+out, so that a field is tested on wordings, streets and orders of items that it never saw.
 """
 
 from __future__ import annotations
 
 import random
 import unicodedata
+import zlib
 
 from talkmill.llm.names import GIVEN, NICKNAMES
 
-#: Patterns of chat messages.
-PATTERNS = """
-meu nome é {name:full}
-meu nome completo é {name:full}, pode anotar
-me chamo {name:full}
-aqui é {name:any}
-aqui quem fala é o {name:any}
-sou {name:full} e {name:given} me indicou vocês
-sou a {name:given}, esposa do {name:given}
-quem dirige é {name:full}, {small} anos
-é pra minha esposa, {name:full}
-pode colocar no nome de {name:full}
-o carro está no nome do meu pai, {name:full}
-{name:full} aqui, tudo bem?
-Oi, {name:any}! Tudo bem?
-Olá {name:given}, como vai?
-bom dia {name:any}
-Sr. {name:full}, bom dia
-Dona {name:given}, a senhora recebeu?
-{name:any}, conseguiu ver a proposta?
-{name:any}, segue a cotação
-fala com {name:any} da oficina, por favor
-att, {name:full}
-Atenciosamente, {name:full}
-obrigada, {name:given}
-Quem atende amanhã é {name:full}, ok?
-quem te atende é a {name:any}
-Confirmando: titular {name:full}, cpf {id_number:cpf}, correto?
-{name:full}, tentei ligar no {phone:phone} e não consegui.
-Segue: {name:full}, {id_number:cpf}, {email:email}
-{name:full}\ncpf {id_number:cpf}\n{address:address}\n{phone:phone}
-nome: {name:full}\nemail: {email:email}\nfone: {phone:phone}
-{name:full} bateu no meu carro, placa {plate}, fone {phone:phone}
-contato {phone:phone}, falar com {name:any}
-meu cpf é {id_number:cpf}
-cpf {id_number:cpf} cep {cep}
-cpf: {id_number:cpf}
-{id_number:cpf} é o do titular, nasc {date}
-{id_number:cpf} é meu cpf
-pedido {order}, cpf {id_number:cpf}, qualquer coisa {phone:phone}
-rg {id_number:rg}
-meu rg é {id_number:rg}
-documento: {id_number:rg}
-identidade {id_number:rg} ssp
-CNH {id_number:cnh}, vence {date}
-minha cnh é {id_number:cnh}
-habilitação {id_number:cnh}
-meu email é {email:email}
-email: {email:email} ou o da empresa {email:email}
-manda a proposta pra {email:email}
-Enviei a proposta para {email:email}.
-{email:email}
-me liga no {phone:phone}
-pode ligar pra {phone:phone} depois das {small}h
-meu zap é {phone:phone}
-Meu ramal direto é {phone:phone}, pode chamar.
-whats {phone:phone}
-telefone: {phone:phone}
-{phone:phone}
-moro na {address:address}
-moro na {address:address}, perto do mercado
-endereço: {address:address}, {city}
-A vistoria será na {address:address}, dia {date}.
-o carro fica na {address:address} - cep {cep}
-{address:address}
-{address:address}
-{name:full}\n{address:address}\n{phone:phone}
-{name:full}\ncpf {id_number:cpf}\n{address:address}
-cpf {id_number:cpf}\n{address:address}\n{phone:phone}\n{email:email}
-entrego na {address:address} ou na {address:address}?
-entrega na {address:address}, {city}, cep {cep}
-tem uma oficina na avenida principal, serve?
-a rua aqui é sem saída, bem tranquila
-moro na rua do mercado, perto da praça
-o carro fica na avenida durante o dia
-moro em {city}, o carro dorme na garagem
-moro em {city}
-sou de {city} e trabalho em {city}
-meu cep é {cep}
-cep {cep}
-Pode me informar o CEP de pernoite?
-o protocolo que me passaram foi {protocol}
-protocolo {protocol}, e agora?
-pedido {order}, ainda sem resposta
-o número do pedido é {order}
-a apólice antiga é {policy}
-apólice {policy}
-minha nota fiscal é {invoice}
-consulta fipe {fipe}
-o boleto veio com linha {boleto}
-A cotação {protocol} vale até {date}.
-placa {plate}, renavam eu vejo depois
-a placa é {plate}
-renavam {order}
-vou viajar dia {date}, precisa valer até lá
-renovo em {date} com a {firm}
-hoje eu pago {price} na {firm}
-a {firm} cobra {price}, consegue melhorar?
-tá caro, na {firm} me fizeram por R$ {price}
-Temos condição melhor que a {firm}, cobertura completa.
-tá caro hein [risos] vou ver com a {firm}
-vi o perfil @{firm} de vocês, é confiável?
-O {car} {year} fica em R$ {price} por ano, franquia reduzida.
-tenho um {word} da {word}, ano {year}, quanto fica?
-o carro é {car} {year}, uso pra trabalhar
-É um {car} {year}
-é um {car} {year}
-rodo uns {km} km por mês
-já bati o carro uma vez, faz uns {small} anos
-Parcelamos em até {small} vezes sem juros.
-parcela em {small}x?
-O carro reserva vale por {small} dias e a assistência cobre todo o país.
-Oi, queria uma cotação do seguro do meu carro
-bom dia, quanto fica o seguro?
-Olá! Aqui é da corretora, vi que você pediu uma cotação. Podemos conversar?
-Bom dia! Sou o assistente virtual, em que posso ajudar?
-Qual a marca, o modelo e o ano do veículo?
-Já teve algum sinistro nos últimos anos?
-Ainda tem interesse?
-Posso gerar o boleto?
-Consigo um desconto se fechar hoje.
-Perfeito, vou calcular e te retorno.
-Sem problema, fico à disposição.
-Proposta enviada, confere por favor.
-Recebi seus documentos, obrigado.
-Segue o link da vistoria, é rapidinho.
-vou pensar e depois te aviso
-qual o valor da franquia?
-quanto tempo demora a vistoria?
-cobre vidro e farol também?
-tem carro reserva? e a assistência é 24h?
-achei mais barato em outro lugar
-me dá desconto que eu fecho hoje
-nunca tive sinistro
-fechou, manda boleto
-preciso ver com a minha família antes
-pode ser à vista?
-bom dia eu vi a proposta e achei o valor bom mas queria entender a franquia
-oi é... eu tô dirigindo [inaudível] depois eu falo
-[áudio] então eu queria saber do seguro [ruído] o carro é do meu pai
-eu bati o carro semana passada [barulho] e o outro motorista foi embora
-... alô ...
-ok, obrigado!
-tá bom então
-o seguro é pra mim e pra minha esposa
-se eu fechar até sexta tem desconto?
-quem é o responsável pela vistoria?
-""".strip().split("\n")
+#: What stands before and after an item, by the item's slot. `|` separates them.
+OPENINGS = {
+    "name:full": "o cadastro fica em nome de |anota aí: |falo em nome de |assinado por |contratante: |nome do segurado: |quem vai dirigir é |condutor principal: |é do meu marido, |é da minha mãe, |é para o meu filho |nome completo |o nome é |documento de |eu sou |me chamo |sou |sou a |sou o |titular |a proprietária é |está registrado em nome de |no nome do meu pai, |no nome da |cordialmente, |abraços, |grato, |att. |ass: |cliente |segurada |beneficiário: |indicação de |recado de |o outro motorista era |||",
+    "name:any": "boa noite, |boa tarde, |bom dia, |oi |Oi, |olá, |Olá |alô |prezada |Prezado |caro |sr. |Sr. |sra. |dona |Dona |seu |dr. |quem escreve é |quem fala é a |aqui fala |aqui é a |aqui é o |pode me chamar de |me chamam de |conversei ontem com |deixei tudo com |peça para |falar com |chame a |é a |ligue para |passo para |obrigado, |obrigada |valeu |tchau, |amanhã quem atende é |sua consultora será |meu colega |minha colega |||",
+    "id_number:cpf": "cpf |CPF: |Cpf |cpf do titular |segue o cpf |número do cpf: |cpf nº |o cpf dela é |o cpf dele: |meu documento |documento do condutor: |inscrita no cpf |confirmo o cpf |doc |o meu é |||",
+    "id_number:rg": "rg |RG: |Rg |identidade: |minha identidade é |registro geral |carteira de identidade |rg do condutor |documento |documento: |o rg é |doc. |",
+    "id_number:cnh": "cnh |CNH nº |CNH |carteira de motorista |habilitação nº |número da habilitação |registro da cnh: |a cnh é |minha carteira é ",
+    "phone:phone": "liga no |liga pra |telefone |telefone: |fone: |fone |cel |celular: |whatsapp |whats |zap |meu zap |me chama no |contato: |contato |retorne para |tel. |recado no |ramal |meu ramal é o |outro número: |do trabalho: |tentei o |número novo |anota meu número: |||||",
+    "email:email": "e-mail |email |Email: |mande no |manda pro |escreva para |envia o boleto para |Enviado para |correio: |meu endereço eletrônico é |copie |o dela é ||||",
+    "address:address": "resido na |moro na |moramos na |o endereço é |endereço |entregar na |fico na |vistoria na |A vistoria é na |endereço: |pernoita na |o carro dorme na |trabalho na |mudei para a |guincho na |estou parado na |minha casa é na |oficina na |fica na ||||",
+}
+CLOSINGS = {
+    "name:full": "|||, por gentileza|, certo?| vai buscar o carro| é o dono|, {small} anos de carteira|, mãe do {name:given}|, mora comigo|, corretor| me passou seu contato|, e meu cunhado {name:given} também dirige|.|, correto?| aqui|, pode pôr|, tudo bem?| e {name:given}| e {name:given} está junto| do balcão",
+    "name:any": "||!|! Como está?|? Consegue falar agora?|, tudo certo?|, da oficina|, do balcão|, recebi sua mensagem|, já mandei a cotação|, tentei contato sem sucesso| e a {name:given}|, esposa do {name:given}|, segue o link|, aguardo|, ok?| pra mim|, obrigado| de novo|.|, e o meu pedido?| do financeiro| da recepção| do setor de vistoria| da loja, ok?| do escritório, pode ser?| da corretora| do seguro| e o {name:given}",
+    "id_number:cpf": "|||, confere?| é esse| do titular| é o número|, nascimento {date}| e o cep {cep}| nasc. {date}|, pedido {order}|, certo?|.",
+    "id_number:rg": "|||| ssp|, órgão ssp|, expedido {date}|, confere?|.",
+    "id_number:cnh": "|||, categoria B|, validade {date}|, vence {date}| vencendo em {date}|.",
+    "phone:phone": "|||| à tarde| depois das {small}h| depois do almoço| falar com {name:any}|, é da minha esposa| (recado)|, por favor|?| só mensagem| e não atende.|, pode chamar.|.| qualquer hora",
+    "email:email": "|||| por favor| ou para {email:email}| ou no outro {email:email}|, obrigado|.| e me avisa|, confirma?",
+    "address:address": "||||, perto da padaria|, ao lado da escola|, bairro {word}|, {city}| - {city}|, cep {cep}| cep {cep}| - cep {cep}|, amanhã cedo|?|, dia {date}|, {city}, cep {cep}| ou na {address:address}|.",
+}
+#: Numbers that mean nothing without their label.
+LABELLED = ("id_number:rg", "id_number:cnh")
+#: Clauses without an item.
+PLAIN = """
+protocolo {protocol}|meu protocolo era {protocol}|chamado {protocol} aberto|atendimento nº {protocol}|pedido {order}|o pedido {order} sumiu|compra {order} paga|número da compra: {order}|apólice {policy}|apólice nº {policy} vencendo|renova a {policy}|renavam {order}|código renavam {order}
+nota {invoice}|nota fiscal {invoice} da peça|tabela fipe {fipe}|fipe código {fipe}|código de barras {boleto}|linha digitável {boleto}|o boleto é {boleto}|cotação {protocol} feita|placa {plate}|a placa é {plate}|carro placa {plate} parado|veículo {plate}|cep {cep}|meu cep: {cep}|o cep da garagem é {cep}|valor {price}|pago R$ {price} hoje|sai por {price} no ano
+em {small} parcelas de R$ {price}|R$ {price} à vista|rodei {km} mil km|faço {km} km por mês|modelo {year}|{car} {year}|é {car} {year}|{car} {year} {year}|{car} ano {year} {year}|{car} prata {year} {year}|{car} preto {year}, completo|tenho um {car}|meu carro: {car} ano {year}|O {car} {year} sai por R$ {price}|troquei por {car}|vence dia {date}|vale a partir de {date}|marcado para {date} às {small}h|viajo em {date}|{small} dias de reserva
+guincho 24h|aqui em {city}|moro em {city}|sou de {city}|nasci em {city} e vivo em {city}|vim de {city}|viajo de {city} para {city}|a {firm} cobrou {price}|sou cliente da {firm}|a {firm} ofereceu desconto|comparei com {firm}|vi o anúncio @{firm}|saí da {firm} em {date}|na {firm} era R$ {price}|a {firm} é mais barata?|vendo com a {firm}|cobertura igual à da {firm}
+a rua alagou ontem|estaciono numa rua sem saída|a loja fica numa avenida larga|bati perto da praça|a oficina da avenida fechou|a travessa ao lado é tranquila|uma alameda arborizada|rua do comércio, perto da ponte|passei pela estrada nova|deixo na rua durante o dia|qual rua? a do mercado|no largo da feira, serve?
+"""
+#: What numbers are called, those that are items and those that aren't, and what joins name and number.
+NOUNS = {
+    "id_number:cpf": "cpf|CPF|Cpf|documento", "id_number:rg": "rg|RG|identidade|registro geral|documento", "id_number:cnh": "cnh|CNH|habilitação|carteira", "phone:phone": "telefone|fone|celular|cel|zap|whats|whatsapp|ramal|contato|número", "email:email": "email|e-mail|correio|endereço eletrônico",
+    "order": "pedido|compra|encomenda|renavam|código do cliente|matrícula", "protocol": "protocolo|chamado|atendimento|ocorrência|cotação|senha", "policy": "apólice|contrato|proposta|endosso", "invoice": "nota fiscal|nota|nf|recibo|cupom", "fipe": "fipe|tabela fipe|código fipe", "boleto": "boleto|linha digitável|código de barras|fatura", "cep": "cep|CEP|código postal", "plate": "placa|Placa|emplacamento",
+}
+WHOSE = ["", "", "", "meu ", "minha ", "Meu ", "Minha ", "o ", "a ", "o número do ", "segue o ", "nosso ", "esse é o ", "qual o "]
+WHICH = ["", "", "", "", " novo", " antiga", " antigo", " direto", " atual", " dela", " do titular", " que me deram", " da empresa", " certo", " da peça", " daqui"]
+JOINED = [" ", " ", ": ", " é ", " é ", " é o ", " nº ", " foi ", " número ", " - ", " seria ", ", "]
+ENDED = ["", "", "", "", ".", "?", ", e agora?", " sem resposta", ", ainda sem retorno", " não chegou", ", confere?", ", pode ver", " desde {date}", " por favor", ", anotou?", " até sexta"]
+#: What is said of a firm with a price.
+OFFERS = "a {firm} pede {price}|a {firm} quer {price}|na {firm} deu {price}|{firm} por {price}|{price} na {firm}|{firm} cobra {price}, vale?|a {firm} fez {price} no ano|achei por {price} com a {firm}|{price} é muito|deu {price} à vista|{price}, consegue baixar?|pagava {price} na {firm}, subiu|página @{word}.{word}|siga @{word}|vi no @{word}.{word} de vocês|a rede @{firm} é de vocês?".split("|")
+SUBJECTS = "o carro|a seguradora|o guincho|a vistoria|o boleto|a oficina|meu vizinho|a franquia|o vidro|o motor|a proposta|o prazo|a garagem|minha família|o corretor|minha esposa|meu pai|o sinistro|a cobertura|o outro motorista".split("|")
+VERBS = "ficou|chegou|demorou|atrasou|mudou|precisa|cobre|não cobre|custa|venceu|está|vai|bateu|pediu|quer ver|inclui".split("|")
+OBJECTS = "ontem|na sexta|desconto|revisão|o farol|o para-brisa|terceiros|pouco|no estacionamento|cedo|hoje|o freio|carro reserva|assistência|uma semana|mais barato|para trabalhar|de novo|sem juros|à vista".split("|")
+ASKED = "quanto fica|quanto custa|dá para|tem como|posso|vocês|quando|qual|qual a marca e o ano de|já teve|ainda quer|bom dia, quero cotar|oi, preciso de|olá, vi que pediu|perfeito, vou calcular|obrigado, recebi|sem problema|segue o link de|ok, combinado|vou pensar sobre|me explica|fechado, pode mandar|confere por favor|recebi|alô ...|certo".split("|")
+NOTED = ["", "", "", "", "", "[risada] ", "[barulho de carro] ", "(sem áudio) ", "é... ", "hum, ", "então, ", "[chiado] "]
 #: Words of streets, units and places.
 STREETS = "Rua,R.,Avenida,Av.,Av,Alameda,Al.,Travessa,Tv,Tv.,Praça,Pç.,Estrada,Est.,Rodovia,Rod.,Largo,Viela,Beco,Ladeira,Via,Vila".split(",")
-STREET_NAMES = "das Palmas,dos Ipês Roxos,do Moinho Velho,da Ferraria,Sete de Maio,Vinte e Um de Abril,Quatorze,Bem-te-vi,das Amendoeiras,do Riacho Seco,Três Lagoas,da Matriz,São Tiago,Santa Rita,Treze,Primeiro de Março,das Flores,do Sol,Cinco Rios,XV de Novembro,dos Andradas,Monte Alto".split(",")
+#: Nouns and numbers of which names of streets are made.
+OF = "das Acácias,dos Jasmins,dos Coqueiros,do Operário,da Fonte,do Porto Antigo,da Estação,dos Marinheiros,da Paz,do Cruzeiro,das Oliveiras Bravas,da Serra Alta,do Bosque,dos Pescadores,da Alegria,do Engenho,das Pedras Brancas,da Igreja,do Trilho,dos Lírios".split(",")
+DAYS = "Dois,Três,Cinco,Oito,Nove,Onze,Doze,Quinze,Dezoito,Vinte,Vinte e Dois,Vinte e Cinco,Vinte e Oito,Trinta,Trinta e Um".split(",")
+MONTHS = "Janeiro,Fevereiro,Junho,Julho,Agosto,Setembro,Outubro,Dezembro".split(",")
+SAINTS = "São,Santo,Santa,Nossa Senhora,Bom Jesus".split(",")
 RANKS = "Doutor,Doutora,Coronel,Marechal,Padre,Professor,Professora,Dom,Dona,General,Capitão,Engenheiro,Dr.,Prof.".split(",")
 UNITS = "apto {n},ap {n},ap. {n},apartamento {n},casa {n},bloco {n},bl {n},fundos,sala {n},loja {n},cj {n},conjunto {n},sobrado,térreo,torre {n},bl {l},bloco {l},bl. {l}".split(",")
-PLACES = "Nova {w},Vale da {g},Porto {g},Pedra {g},São {w},Santa {g},Campo {w},Lagoa do {w},Serra {w},Ilha das {w},Barra do {w},Ribeira {w},Vila {g},Matinha {w},Ponte {w},Monte {g}".split(",")
-HOSTS = "correio.example,caixa-postal.test,mail{w}.invalid,{w}.example,rede.{w}.test,{w}-net.com.br,postal.{w}.com,oficio.example".split(",")
+PLACES = "Nova {w},Novo {w},Serra {g},Campo {g},Rio {g},Nova {g},São {g},Santo {g},Santa {g},Monte {w},Monte {g},Campo {w},Porto {g},Porto {w},Vila {g},Vila {w},Serra da {w},Serra {w},Lagoa do {w},Lagoa {g},Rio {w},Cruz do {w},Boa {w},Ilha {g},Barra do {w},Vale do {g},Pedra {w},Ponte {g},Ribeirão {w},{w},{w} do Sul".split(",")
+HOSTS = "exemplo.example,mail.{w}.test,{w}.example,{w}-{w}.example,{w}.invalid,{w}.com.br,{w}.com,post.{w}.net,caixa{w}.test,{w}mail.org".split(",")
 TAILS = ["", "", "", "", "", " rs", " kkk", "!!", "...", "?", " 👍", " 🙏", " 😊", "\n", "."]
 
 
 class Filler:
     """Fills slots from a seeded generator."""
 
-    def __init__(self, seed: int):
-        self.r = random.Random(seed)
+    def __init__(self, seed: int, held: bool | None = None):
+        self.r, self.held = random.Random(seed), held
         self.given = sorted(GIVEN)
         self.nick = sorted(k for k in NICKNAMES if len(k) > 2 or k in ("ze", "ju", "lu", "ge"))
 
+    def pick(self, options: list[str]) -> str:
+        """One of them: of all, or of those that are (not) held out, if there are such ones."""
+        if self.held is None:
+            return self.r.choice(options)
+        return self.r.choice([x for x in options if held_out(x) == self.held] or options)
+
+    def street(self) -> str:
+        r, n = self.r, self.r.random()
+        if n < 0.3:
+            return self.pick(OF)
+        if n < 0.43:
+            return f"{self.pick(DAYS)} de {self.pick(MONTHS)}" if r.random() < 0.6 else self.pick(DAYS)
+        if n < 0.49:
+            return f"{self.pick(SAINTS)} {self.first()}"
+        if n < 0.53:
+            return f"{r.choice(['Bem', 'Sabiá', 'Tico', 'Beija'])}-{r.choice(['te', 'do', 'da'])}-{self.word(1, 2).lower()}"
+        if n < 0.72:
+            return f"{r.choice(RANKS)} {self.first()} {self.word(3, 4)}"
+        if n < 0.82:
+            return f"{r.choice(['do', 'da', 'dos', 'das'])} {self.word(2, 3)}" + (f" {self.word(2, 3)}" if r.random() < 0.5 else "")
+        return f"{self.word(2, 4)} {self.word(2, 4)}" if r.random() < 0.5 else f"{self.first()} {self.word(2, 4)}"
+
     def word(self, least: int = 2, most: int = 5) -> str:
         onsets, vowels, ends = "b c d f g j l m n p r s t v z br tr pr cr dr fr pl gl qu x".split(), "aeiou", ["", "", "", "r", "l", "s", "n", "x"]
         return ("".join(self.r.choice(onsets) + self.r.choice(vowels) for _ in range(self.r.randint(least, most))) + self.r.choice(ends)).capitalize()
@@ -227,7 +157,7 @@ class Filler:
         r = self.r
         parts = [unicodedata.normalize("NFKD", self.first().lower()), self.word(2, 4).lower()]
         local = r.choice([".".join(parts), "-".join(parts), "_".join(parts), parts[0] + "+seguro", parts[0][0] + parts[1] + self.digits("DD"), parts[1] + "_" + parts[0][0], parts[0] + self.digits("dd")])
-        host = r.choice(HOSTS).format(w=self.word(2, 3).lower())
+        host = self.pick(HOSTS).format(w=self.word(2, 3).lower())
         n = r.random()
         if n < 0.65:
             return f"{local}@{host}"
@@ -241,13 +171,13 @@ class Filler:
 
     def address(self) -> str:
         r = self.r
-        name = r.choice(STREET_NAMES) if r.random() < 0.5 else f"{r.choice(RANKS)} {self.first()} {self.word(3, 4)}" if r.random() < 0.6 else f"{self.word(2, 4)} {self.word(2, 4)}" if r.random() < 0.6 else self.first() + " " + self.word(2, 4)
+        name = self.street()
         n = self.digits(r.choice(["Dd", "Ddd", "Dddd", "Dddd"]))
         number = r.choice([f", {n}", f" {n}", f", nº {n}", f" n {n}", f" número {n}", f", n. {n}", f", n° {n}", ", s/n", " s/n", f" nº {n}", ", sn"])
         unit = ""
         if r.random() < 0.3:
             unit = r.choice([", ", " ", " - "]) + r.choice(UNITS).format(n=self.digits(r.choice(["D", "Dd", "Ddd"])), l=r.choice("ABCDEF"))
-        return f"{r.choice(STREETS)} {name}{number}{unit}"
+        return f"{self.pick(STREETS)} {name}{number}{unit}"
 
     def fill(self, slot: str) -> str:
         r, d = self.r, self.digits
@@ -275,7 +205,7 @@ class Filler:
             p = r.choice([f"{letters}{d('dddd')}", f"{letters}-{d('dddd')}", f"{letters} {d('dddd')}", f"{letters}{d('d')}{r.choice('ABCDEFGHJ')}{d('dd')}"])
             return p if r.random() < 0.6 else p.lower()
         if slot == "city":
-            return r.choice(PLACES).format(w=self.word(2, 3), g=self.first())
+            return self.pick(PLACES).format(w=self.word(2, 3), g=self.first())
         if slot == "firm":
             w = self.word(3, 4)
             return r.choice([w, w, w.lower(), w.upper(), f"{w} Seguros", f"Seguradora {w}", f"Grupo {w}", f"{w} Auto", f"seguro da {w}", f"{w}!!", f"{w} (renovação)", f"cia {w} de seguros", "minha seguradora", "outra aí", "do banco"])
@@ -286,14 +216,51 @@ class Filler:
         raise ValueError(slot)
 
 
-def labelled_rows(n: int, seed: int = 7) -> list[tuple[str, list[tuple[int, int, str]]]]:
-    """`n` rows of the table: a text and its items as (start, end, kind)."""
-    filler = Filler(seed)
+def held_out(part: str) -> bool:
+    return zlib.crc32(part.strip().encode()) % 5 == 0
+
+
+def _clause(filler: Filler) -> str:
+    """A clause with its slots still open."""
+    r = filler.r
+    n = r.random()
+    if n < 0.32:
+        slot = r.choice(list(NOUNS))
+        return f"{r.choice(WHOSE)}{filler.pick(NOUNS[slot].split('|'))}{filler.pick(WHICH)}{filler.pick(JOINED)}{{{slot}}}{filler.pick(ENDED)}"
+    if n < 0.37:
+        return filler.pick(OFFERS)
+    if n < 0.75:
+        slot = r.choices(list(OPENINGS), [15, 20, 12, 8, 7, 18, 12, 20])[0]
+        return f"{filler.pick(OPENINGS[slot].split('|'))}{{{slot}}}{filler.pick(CLOSINGS[slot].split('|'))}"
+    if n < 0.89:
+        return filler.pick(PLAIN.strip().replace("\n", "|").split("|"))
+    if n < 0.94:
+        return f"{r.choice(NOTED)}{filler.pick(SUBJECTS)} {filler.pick(VERBS)} {filler.pick(OBJECTS)}"
+    return f"{r.choice(NOTED)}{filler.pick(ASKED)} {filler.pick(SUBJECTS)}{r.choice(['?', '', '.', ' ' + filler.pick(OBJECTS)])}"
+
+
+def _pattern(filler: Filler) -> str:
+    """One clause, several clauses, or bare items under each other, in any order."""
+    r = filler.r
+    n = r.random()
+    if n < 0.68:
+        text = _clause(filler)
+    elif n < 0.88:
+        text = r.choice([", ", ", ", " e ", ". ", "\n", " - ", "; "]).join(_clause(filler) for _ in range(r.choice([2, 2, 3])))
+    else:
+        slots = r.sample(list(OPENINGS), r.randint(2, 4))
+        text = r.choice(["\n", "\n", ", ", " "]).join(f"{filler.pick(OPENINGS[x].split('|')) if x in LABELLED or r.random() < 0.5 else ''}{{{x}}}" for x in slots)
+    return text[:1].upper() + text[1:] if r.random() < 0.4 else text
+
+
+def labelled_rows(n: int, seed: int = 7, held: bool | None = None) -> list[tuple[str, list[tuple[int, int, str]]]]:
+    """`n` rows of the table: a text and its items as (start, end, kind). `held`: only from parts that are (not) held out."""
+    filler = Filler(seed, held)
     r = filler.r
     rows = []
-    for i in range(n):
+    for _ in range(n):
         text, items = "", []
-        pattern = PATTERNS[i % len(PATTERNS)].replace("\\n", "\n")
+        pattern = _pattern(filler)
         while pattern:
             a = pattern.find("{")
             if a < 0:
