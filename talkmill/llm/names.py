@@ -284,12 +284,13 @@ def _parsed(names: DataFrame) -> DataFrame:
 
 
 def _met(left: DataFrame, right: DataFrame, where: str = "true") -> DataFrame:
-    """Pairs of names with the same head key and `key`; the head keys are those of `_roles`. `where` may tell by n_a and n_b.
+    """Pairs of names with the same `head` key and `key`; the head keys are those of `_roles`. `where` may tell by n_a and n_b.
 
     Keys are joined by a hash: one that two keys share gives a candidate that is decided like any other.
     """
-    a = left.select(F.col("name").alias("name_a"), F.col("n").alias("n_a"), F.explode("first").alias("head"), "key").select("name_a", "n_a", F.xxhash64("head", "key").alias("at"))
-    b = right.select(F.col("name").alias("name_b"), F.col("n").alias("n_b"), F.explode("second").alias("head"), "key").select("name_b", "n_b", F.xxhash64("head", "key").alias("at"))
+    at = F.xxhash64("head", "key").alias("at")
+    a = left.select(F.col("name").alias("name_a"), F.col("n").alias("n_a"), at)
+    b = right.select(F.col("name").alias("name_b"), F.col("n").alias("n_b"), at)
     return a.hint("merge").join(b, "at").where(where).select("name_a", "name_b")
 
 
@@ -311,24 +312,26 @@ def _pair(a: str, b: str):
 def _candidates(parsed: DataFrame) -> DataFrame:
     words = parsed.select(F.explode("places.token").alias("word"))
     close = written(close_pairs(words, words).select("a", "b"), "close-tokens")
-    placed = parsed.select("name", "n", "second", "initials", F.explode("places").alias("p")).select("name", "n", "second", "initials", "p.*")
-    # each token under every token that is close to it
-    near = written(placed.join(close.toDF("token", "near").hint("merge"), "token").drop("token"), "name-near")
-    roles = ["name", "n", "second"]
+    heads = lambda df, role: df.withColumn("head", F.explode(role))
+    single = heads(parsed.where("n = 1"), "first").select("name", "n", "head", F.col("places")[0]["token"].alias("key"))
+    two = heads(parsed.where("size(two) = 2"), "first").select("name", "n", "head", "two")
+    own = heads(parsed.where("size(initials) > 0"), "first").select("name", "n", "head", "initials", F.explode(F.array_distinct("places.token")).alias("t"))
+    # what the other side may be asked for: a head with a token. Most of the tokens that are close by chance aren't
+    asked = single.select("head", F.col("key").alias("t")).unionByName(two.select("head", F.explode("two").alias("t"))).unionByName(own.select("head", "t"))
+    asked = asked.select(F.xxhash64("head", "t").alias("at")).distinct()
+    placed = parsed.select("name", "n", "second", F.explode("places").alias("p")).select("name", "n", "second", "p.*")
+    near = placed.join(close.toDF("token", "near").hint("merge"), "token").select("name", "n", "i", "others", "near", F.explode("second").alias("head"))
+    near = written(near.withColumn("at", F.xxhash64("head", "near")).join(asked.hint("merge"), "at", "left_semi").drop("at"), "name-near")
     # the shorter side's only token
-    single = parsed.where("n = 1").select("name", "n", "first", F.col("places")[0]["token"].alias("key"))
-    short = _met(single, near.select(*roles, F.col("near").alias("key")).distinct())
+    short = _met(single, near.select("name", "n", "head", F.col("near").alias("key")))
     # two tokens of the shorter side; the pairs of the longer one are laid out row by row
-    sided = near.groupBy(*roles).agg(F.collect_set(F.struct("i", "near")).alias("o"))
-    left = sided.select(*roles, "o", F.explode("o").alias("x")).select(*roles, "x", F.explode(F.expr("filter(o, y -> y.i > x.i)")).alias("y"))
-    both = left.select(*roles, _pair("x.near", "y.near")).distinct()
-    twice = _met(parsed.where("size(two) = 2").select("name", "n", "first", F.concat_ws(" ", F.col("two")[0], F.col("two")[1]).alias("key")), both, "n_a <= n_b")
+    sided = near.groupBy("name", "n", "head").agg(F.collect_set(F.struct("i", "near")).alias("o"))
+    left = sided.select("name", "n", "head", "o", F.explode("o").alias("x")).select("name", "n", "head", "x", F.explode(F.expr("filter(o, y -> y.i > x.i)")).alias("y"))
+    twice = _met(two.select("name", "n", "head", F.concat_ws(" ", F.col("two")[0], F.col("two")[1]).alias("key")), left.select("name", "n", "head", _pair("x.near", "y.near")), "n_a <= n_b")
     # an initial of one side that stands for a token or initial of the other, beside a token of both
-    own = parsed.where("size(initials) > 0").select("name", "n", "first", F.explode("initials").alias("x"), F.col("places.token").alias("t"))
-    own = own.select("name", "n", "first", "x", F.explode("t").alias("t")).distinct()
     letter = F.concat_ws(" ", "x", "t").alias("key")
-    other = near.select(*roles, F.explode("others").alias("x"), F.col("near").alias("t")).distinct()
-    with_initial = _met(own.select("name", "n", "first", letter), other.select(*roles, letter))
+    other = near.select("name", "n", "head", F.explode("others").alias("x"), F.col("near").alias("t"))
+    with_initial = _met(own.select("name", "n", "head", F.explode("initials").alias("x"), "t").select("name", "n", "head", letter), other.select("name", "n", "head", letter))
     # a head run together with a family token
     whole = parsed.select(F.col("name").alias("name_a"), F.explode("wholes").alias("a"))
     parts = parsed.select(F.col("name").alias("name_b"), F.explode("glued").alias("b"))
@@ -336,7 +339,7 @@ def _candidates(parsed: DataFrame) -> DataFrame:
     together = whole.join(glued.hint("merge"), "a").join(parts.hint("merge"), "b").select("name_a", "name_b")
     # family tokens run together, by the letters of all of them
     spelt = parsed.select("name", "n", "first", "second", F.explode("letters").alias("key"))
-    together = together.unionByName(_met(spelt, spelt.where("n > 1"), "n_a < n_b"))
+    together = together.unionByName(_met(heads(spelt, "first"), heads(spelt.where("n > 1"), "second"), "n_a < n_b"))
     every = short.unionByName(twice).unionByName(with_initial).unionByName(together).where("name_a <> name_b")
     return every.select(F.least("name_a", "name_b").alias("name_a"), F.greatest("name_a", "name_b").alias("name_b")).distinct()
 

@@ -274,19 +274,107 @@ def model_cache_key(spark, d):
     return texts.select("message_body", cache_key("m1", "system", F.col("message_body"), 256, -0.0).alias("key"))
 
 
+BUDGET = 500
+
+
 def model_pending(spark, d):
+    """The calls that a budget allows, and how many it leaves out."""
     from talkmill.operators.model_lane import cache_key, within_budget
 
     texts = model_cache_key(spark, d)
     cached = texts.where("key < '8'").select("key")
-    return within_budget(texts.join(cached, "key", "left_anti").select("key"), "key", 10**9).groupBy("in_budget").agg(F.count(F.lit(1)).alias("n"))
+    ranked = within_budget(texts.join(cached, "key", "left_anti").select("key"), "key", BUDGET)
+    return ranked.groupBy("in_budget").agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("first_key"), F.max("key").alias("last_key"))
+
+
+def _replied(text: str) -> str:
+    """A model's reply that depends on nothing but the text."""
+    import json
+
+    return json.dumps({"concorrente_mencionado": f" {text[:6]} ", "veiculo_marca": "", "veiculo_modelo": None, "veiculo_ano": float(1990 + len(text) % 30), "valor_pago_atual_brl": True, "sinistro_historico": len(text) % 2 == 0})
+
+
+def entity_fill(spark, d):
+    """Silver's entity columns after calls within the budget: answers only where the column was empty."""
+    from talkmill.operators.model_lane import ENTITIES, cache_key, fill_entities
+
+    rows = table(spark, d, "silver").select("conversation_id", "message_id", "silver_batch_id", "message_body_masked", *ENTITIES)
+    key = lambda c: cache_key("m1", "system", c, 256, 0.0)
+    filled, _ = fill_entities(rows, _replied, spark.createDataFrame([], "key string, reply string"), key, BUDGET)
+    return filled.drop("message_body_masked")
+
+
+def reply_parse(spark, d):
+    """Replies of several forms, parsed: whole ones, ones in a fence, ones that lack a key and ones that aren't JSON."""
+    from talkmill.operators.model_lane import ANSWER, ENTITIES, parse_reply
+
+    t = table(spark, d, "silver").select("conversation_id", "message_id", "silver_batch_id", *ENTITIES)
+    whole = F.to_json(F.struct(*ENTITIES), {"ignoreNullFields": "false"})
+    form = F.pmod(F.coalesce(F.length("message_id"), F.lit(0)) + F.ascii(F.substring("message_id", -1, 1)), F.lit(4))
+    made = F.when(form == 0, whole).when(form == 1, F.concat(F.lit("```json\n"), whole, F.lit("\n```"))).when(form == 2, F.to_json(F.struct("veiculo_marca"))).otherwise("no answer")
+    replies = t.select("conversation_id", "message_id", "silver_batch_id", made.alias("reply"))
+
+    def run(batches):
+        import pandas as pd
+
+        for b in batches:
+            parsed = pd.DataFrame([parse_reply(r) for r in b["reply"]], columns=list(ENTITIES), dtype=object)
+            yield pd.concat([b.drop(columns="reply").reset_index(drop=True), parsed[[x.split()[0] for x in ANSWER.split(", ")]]], axis=1)
+
+    return replies.mapInPandas(run, f"conversation_id string, message_id string, silver_batch_id string, {ANSWER}")
+
+
+def closed_sets(spark, d):
+    """How many values of each column are outside its closed set, after some were made so."""
+    drifted = _bronze(spark, d).withColumn("status", F.when(F.col("status") == "sent", "lost").otherwise(F.col("status"))).withColumn("direction", F.when(F.col("channel").isNull(), "sideways").otherwise(F.col("direction")))
+    return drifted.agg(*schemas.out_of_set())
+
+
+def silver_utc(spark, d):
+    """Silver's times, and the columns that wait for a model."""
+    valid = s.partition_rows(_bronze(spark, d), AT)[0]
+    out = s.silver_transform(valid, SECRET, AT)
+    return out.select("conversation_id", "message_id", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ssXXX").alias("timestamp"), "veiculo_marca", "veiculo_modelo", "veiculo_ano", "concorrente_mencionado", "valor_pago_atual_brl", "sinistro_historico")
+
+
+def row_accounting(spark, d):
+    """What became of the rows of each batch: read, rejected, dropped as copies, written."""
+    rows = _bronze(spark, d)
+    valid, rejected = s.partition_rows(rows, AT)
+    count = lambda df, name: df.groupBy("batch_id").agg(F.count(F.lit(1)).alias(name))
+    parts = count(rows, "rows_in").join(count(rejected, "rows_rejected"), "batch_id", "left").join(count(s.dedup_events(valid), "rows_out"), "batch_id", "left")
+    parts = parts.select("batch_id", "rows_in", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rows_rejected", "rows_out")])
+    return parts.withColumn("rows_deduped", F.col("rows_in") - F.col("rows_rejected") - F.col("rows_out"))
+
+
+def timing_summary(spark, d):
+    """The statistics of the timing records, over the response times of each channel."""
+    from talkmill.control.events import summary
+
+    t = table(spark, d, "silver").where("channel IS NOT NULL").select(F.col("channel").alias("scenario"), F.col("metadata.response_time_sec").cast("double").alias("ms"))
+    out = summary(t)
+    return out.select("scenario", "n", *[F.round(c, 6).alias(c) for c in out.columns[2:]])
 
 
-QUERIES |= {f.__name__: f for f in (batch_pending, manifest_latest_run, model_cache_key, model_pending)}
+QUERIES |= {f.__name__: f for f in (batch_pending, manifest_latest_run, model_cache_key, model_pending, entity_fill, reply_parse, closed_sets, silver_utc, row_accounting, timing_summary)}
+QUERIES["body_fingerprint"] = _column("fingerprint", _body(masking.fingerprint))
 _KEY = "sha256('model=m1' || chr(10) || 'system=system' || chr(10) || 'user=' || message_body || chr(10) || 'max_tokens=256' || chr(10) || 'temperature=0.000000')"
 SQL |= {
     "batch_pending": "SELECT DISTINCT batch_id FROM bronze WHERE batch_id IS NOT NULL AND batch_id NOT IN (SELECT batch_id FROM batches WHERE CASE WHEN source_mtime % 3 = 0 THEN 'FAILED' ELSE status END = 'COMPLETED')",
     "manifest_latest_run": "SELECT family, batch_id, started_at FROM (SELECT substr(batch_id, 1, 1) AS family, batch_id, started_at AT TIME ZONE 'UTC' AS started_at FROM batches) QUALIFY row_number() OVER (PARTITION BY family ORDER BY started_at DESC, batch_id DESC) = 1",
     "model_cache_key": f"SELECT DISTINCT message_body, {_KEY} AS key FROM bronze WHERE message_body IS NOT NULL",
-    "model_pending": f"SELECT true AS in_budget, count(*) AS n FROM (SELECT DISTINCT {_KEY} AS key FROM bronze WHERE message_body IS NOT NULL) WHERE key >= '8'",
+    "model_pending": f"SELECT n <= {BUDGET} AS in_budget, count(*) AS n, min(key) AS first_key, max(key) AS last_key FROM (SELECT key, row_number() OVER (ORDER BY key) AS n FROM (SELECT DISTINCT {_KEY} AS key FROM bronze WHERE message_body IS NOT NULL) WHERE key >= '8') GROUP BY ALL",
+    "entity_fill": f"""WITH asked AS (SELECT message_body, row_number() OVER (ORDER BY {_KEY}) AS n FROM (SELECT DISTINCT message_body_masked AS message_body FROM silver WHERE length(trim(message_body_masked)) > 0)),
+        answers AS (SELECT message_body AS message_body_masked, nullif({_strip("substr(message_body, 1, 6)")}, '') AS competitor, 1990 + length(message_body) % 30 AS year, length(message_body) % 2 = 0 AS claim FROM asked WHERE n <= {BUDGET})
+      SELECT conversation_id, message_id, silver_batch_id, coalesce(concorrente_mencionado, competitor) AS concorrente_mencionado, veiculo_marca, veiculo_modelo, coalesce(veiculo_ano, year)::INT AS veiculo_ano, valor_pago_atual_brl, coalesce(sinistro_historico, claim) AS sinistro_historico
+      FROM silver LEFT JOIN answers USING (message_body_masked)""",
+    "reply_parse": f"""WITH t AS (SELECT *, (coalesce(length(message_id), 0) + ascii(right(message_id, 1))) % 4 IN (0, 1) AS whole FROM silver)
+      SELECT conversation_id, message_id, silver_batch_id, {', '.join(f"CASE WHEN whole THEN nullif({_strip(c)}, '') END AS {c}" for c in ("veiculo_marca", "veiculo_modelo", "concorrente_mencionado"))},
+        {', '.join(f"CASE WHEN whole THEN {c} END AS {c}" for c in ("veiculo_ano", "valor_pago_atual_brl", "sinistro_historico"))} FROM t""",
+    "closed_sets": "SELECT count(*) FILTER (WHERE channel IS NULL OR direction NOT IN ('inbound', 'outbound')) AS drift_direction, count(*) FILTER (WHERE message_type NOT IN ('audio', 'contact', 'document', 'image', 'location', 'sticker', 'text', 'video')) AS drift_message_type, count(*) FILTER (WHERE status NOT IN ('read', 'delivered')) AS drift_status FROM bronze",
+    "silver_utc": f"SELECT conversation_id, message_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') || 'Z' AS timestamp, NULL::VARCHAR AS veiculo_marca, NULL::VARCHAR AS veiculo_modelo, NULL::INT AS veiculo_ano, NULL::VARCHAR AS concorrente_mencionado, NULL::DOUBLE AS valor_pago_atual_brl, NULL::BOOLEAN AS sinistro_historico FROM {_DEDUP}",
+    "row_accounting": f"""SELECT batch_id, rows_in, coalesce(rows_rejected, 0) AS rows_rejected, coalesce(rows_out, 0) AS rows_out, rows_in - coalesce(rows_rejected, 0) - coalesce(rows_out, 0) AS rows_deduped
+      FROM (SELECT batch_id, count(*) AS rows_in, count(*) FILTER (WHERE message_id IS NULL OR conversation_id IS NULL) AS rows_rejected FROM bronze GROUP BY batch_id) LEFT JOIN (SELECT batch_id, count(*) AS rows_out FROM {_DEDUP} GROUP BY batch_id) USING (batch_id)""",
+    "timing_summary": "SELECT channel AS scenario, count(ms) AS n, min(ms) AS min_ms, max(ms) AS max_ms, round(avg(ms), 6) AS mean_ms, round(stddev_samp(ms), 6) AS stddev_ms, round(quantile_cont(ms, 0.5), 6) AS p50_ms, round(quantile_cont(ms, 0.95), 6) AS p95_ms FROM (SELECT channel, metadata.response_time_sec::DOUBLE AS ms FROM silver) WHERE channel IS NOT NULL GROUP BY channel",
+    "body_fingerprint": _sql("fingerprint", "substr(sha256(message_body), 1, 16)"),
 }
