@@ -155,20 +155,22 @@ def judge(u: str) -> str:
 
 
 def _skeleton(u: str) -> str:
-    return " ".join(_NO_WORD.sub(" ", _NUMBER.sub("0", _HEX.sub("0", u))).split())
+    if _NUMBER.search(u):
+        u = _NUMBER.sub("0", _HEX.sub("0", u))
+    return _NO_WORD.sub(" ", u).strip()
 
 
 def judged(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """key, source, text_id (same for equal texts of a source), slot, responses and contents (numbers of units), units (skeleton u, verdict v)."""
+    """key, source, text_id (same for equal texts of a source), slot, responses and contents (numbers of units), units (its different units, one a line: the verdict's letter and the skeleton)."""
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, tuple[str, str]] = {}
+        memo: dict[str, str] = {}
         for b in batches:
             rows = []
             for k, host, t in zip(b["key"], b["source"], b["text"]):
                 if not t or t.isspace():
-                    rows.append((k, host, b"", False, 0, 0, []))
+                    rows.append((k, host, b"", False, 0, 0, ""))
                     continue
                 p = folded(plain(t))
                 found = []
@@ -177,16 +179,22 @@ def judged(documents: DataFrame, key: str = "doc_id", text: str = "text", source
                     if v is None:
                         if len(memo) > 200_000:
                             memo.clear()
-                        v = memo[u] = (_skeleton(u), judge(u))
+                        v = memo[u] = judge(u) + _skeleton(u)
                     found.append(v)
-                verdicts = [v for _, v in found]
+                verdicts = [v[0] for v in found]
                 text_id = hashlib.blake2b(f"{host}\0{p}".encode("utf-8", "surrogatepass"), digest_size=16).digest()
-                rows.append((k, host, text_id, has_slot(p), verdicts.count("r"), verdicts.count("c"), [{"u": u, "v": v} for u, v in dict.fromkeys(found)]))
+                rows.append((k, host, text_id, has_slot(p), verdicts.count("r"), verdicts.count("c"), "\n".join(dict.fromkeys(found))))
             yield pd.DataFrame(rows, columns=["key", "source", "text_id", "slot", "responses", "contents", "units"])
 
     host = F.coalesce(F.col(source).cast("string"), F.lit("")) if source in documents.columns else F.lit("")
     rows = documents.select(F.col(key).alias("key"), host.alias("source"), F.col(text).cast("string").alias("text"))
-    return rows.mapInPandas(run, f"key {kind}, source string, text_id binary, slot boolean, responses int, contents int, units array<struct<u: string, v: string>>")
+    return rows.mapInPandas(run, f"key {kind}, source string, text_id binary, slot boolean, responses int, contents int, units string")
+
+
+def _laid_out(rows: DataFrame, *columns) -> DataFrame:
+    """A row for each unit: the columns, v (verdict) and u (skeleton)."""
+    lines = rows.where("units <> ''").select(*columns, F.explode(F.split("units", "\n")).alias("line"))
+    return lines.select(*[c for c in lines.columns if c != "line"], F.substring("line", 1, 1).alias("v"), F.expr("substring(line, 2)").alias("u"))
 
 
 def _hashed(u: str = "u") -> list[Column]:
@@ -221,7 +229,7 @@ def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", sourc
     """
     rows = written(judged(documents, key, text, source), "residue")
     ours = (F.col("responses") > 0) & (F.col("contents") == 0)
-    pieces = rows.where("NOT slot").select("source", ours.alias("ours"), (F.col("responses") > 0).alias("responds"), F.explode("units").alias("x")).select("source", "ours", "responds", "x.*")
+    pieces = _laid_out(rows.where("NOT slot"), "source", ours.alias("ours"), (F.col("responses") > 0).alias("responds"))
     held = pieces.groupBy("source", "u", "v").agg(F.count(F.lit(1)).alias("n"), F.count_if("ours").alias("k"), F.count_if("responds").alias("r"))
     held = written(held, "residue-units")
     plain_words = F.array(*[F.lit(w) for w in sorted(FUNCTION)])
@@ -251,7 +259,7 @@ def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", sourc
     learned = (F.col("n") >= LEARNED_DOCS) & (F.col("part") >= LEARNED_SHARE) & (F.col("score") >= LEARNED_ODDS)
     bad = F.col("filler") | learned
     settled = settled.select("source", "h", "g", bad.alias("bad"), (~bad & ((F.col("part") < share) | (F.col("score") < 0))).alias("good"))
-    asked = rows.where("contents = 0 AND NOT slot").select("text_id", "source", F.explode(F.expr("filter(units, x -> x.v = '?')")).alias("x")).select("text_id", "source", *_hashed("x.u"))
+    asked = _laid_out(rows.where("contents = 0 AND NOT slot"), "text_id", "source").where("v = '?'").select("text_id", "source", *_hashed())
     shown = asked.join(settled, ["source", "h", "g"]).groupBy("text_id").agg(F.max("bad").alias("bad"), F.max("good").alias("good"))
     done = rows.select("key", "text_id", "slot", "responses", "contents").join(shown, "text_id", "left")
     response = (F.col("contents") == 0) & ((F.col("responses") > 0) | F.coalesce("bad", F.lit(False))) & ~F.coalesce("good", F.lit(False)) & ~F.col("slot")
