@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from talkmill.functions.text import strip
 from talkmill.session import written
 
 log = logging.getLogger("talkmill.model")
@@ -65,7 +66,7 @@ def parse_reply(reply: str | None) -> dict:
 
 def missing_bodies(rows: DataFrame, cache: DataFrame, key: Callable[[Column], Column], budget: int, body: str = "message_body_masked") -> DataFrame:
     """key and body of the distinct non-blank texts without a cached answer, at most `budget` of them, by key."""
-    texts = rows.select(F.col(body).alias("body")).where("length(trim(body)) > 0").distinct().withColumn("key", key(F.col("body")))
+    texts = rows.select(F.col(body).alias("body")).where(F.length(strip(F.col("body"))) > 0).distinct().withColumn("key", key(F.col("body")))
     misses = texts.join(cache.select("key"), "key", "left_anti")
     return within_budget(misses, "key", budget).where("in_budget").drop("in_budget")
 
@@ -105,10 +106,11 @@ def fill_entities(rows: DataFrame, call: Callable[[str], str], cache: DataFrame,
 
 
 def within_budget(misses: DataFrame, key: str, budget: int) -> DataFrame:
-    """Marks the first `budget` rows by key: in_budget. Ranks are counted per range of keys, so no task holds all rows."""
-    w = Window.partitionBy("__bucket").orderBy(key)
-    placed = misses.withColumn("__bucket", F.conv(F.substring(F.sha2(F.col(key).cast("string").cast("binary"), 256), 1, 2), 16, 10).cast("int"))
-    sizes = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))).drop("__n")  # 256 rows
-    ranked = placed.withColumn("__rank", F.row_number().over(w)).join(F.broadcast(before), "__bucket")
-    return ranked.withColumn("in_budget", F.coalesce("__before", F.lit(0)) + F.col("__rank") <= budget).drop("__bucket", "__rank", "__before")
+    """Marks the first `budget` rows by key: in_budget. Ranks are counted per range of keys (those with the same first two
+    characters, 256 ranges for digests), so no task holds all rows."""
+    w = Window.partitionBy("__range").orderBy(key)
+    placed = misses.withColumn("__range", F.substring(F.col(key).cast("string"), 1, 2))
+    sizes = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = sizes.withColumn("__before", F.sum("__n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))).drop("__n")  # one row per range
+    ranked = placed.withColumn("__rank", F.row_number().over(w)).join(before, "__range")
+    return ranked.withColumn("in_budget", F.coalesce("__before", F.lit(0)) + F.col("__rank") <= budget).drop("__range", "__rank", "__before")

@@ -295,7 +295,7 @@ def _replied(text: str) -> str:
 
 
 def entity_fill(spark, d):
-    """Silver's entity columns after calls within the budget: answers only where the column was empty."""
+    """Silver's entity columns after calls within the budget: an answer comes before what was there."""
     from talkmill.operators.model_lane import ENTITIES, cache_key, fill_entities
 
     rows = table(spark, d, "silver").select("conversation_id", "message_id", "silver_batch_id", "message_body_masked", *ENTITIES)
@@ -364,9 +364,9 @@ SQL |= {
     "manifest_latest_run": "SELECT family, batch_id, started_at FROM (SELECT substr(batch_id, 1, 1) AS family, batch_id, started_at AT TIME ZONE 'UTC' AS started_at FROM batches) QUALIFY row_number() OVER (PARTITION BY family ORDER BY started_at DESC, batch_id DESC) = 1",
     "model_cache_key": f"SELECT DISTINCT message_body, {_KEY} AS key FROM bronze WHERE message_body IS NOT NULL",
     "model_pending": f"SELECT n <= {BUDGET} AS in_budget, count(*) AS n, min(key) AS first_key, max(key) AS last_key FROM (SELECT key, row_number() OVER (ORDER BY key) AS n FROM (SELECT DISTINCT {_KEY} AS key FROM bronze WHERE message_body IS NOT NULL) WHERE key >= '8') GROUP BY ALL",
-    "entity_fill": f"""WITH asked AS (SELECT message_body, row_number() OVER (ORDER BY {_KEY}) AS n FROM (SELECT DISTINCT message_body_masked AS message_body FROM silver WHERE length(trim(message_body_masked)) > 0)),
+    "entity_fill": f"""WITH asked AS (SELECT message_body, row_number() OVER (ORDER BY {_KEY}) AS n FROM (SELECT DISTINCT message_body_masked AS message_body FROM silver WHERE length({_strip('message_body_masked')}) > 0)),
         answers AS (SELECT message_body AS message_body_masked, nullif({_strip("substr(message_body, 1, 6)")}, '') AS competitor, 1990 + length(message_body) % 30 AS year, length(message_body) % 2 = 0 AS claim FROM asked WHERE n <= {BUDGET})
-      SELECT conversation_id, message_id, silver_batch_id, coalesce(concorrente_mencionado, competitor) AS concorrente_mencionado, veiculo_marca, veiculo_modelo, coalesce(veiculo_ano, year)::INT AS veiculo_ano, valor_pago_atual_brl, coalesce(sinistro_historico, claim) AS sinistro_historico
+      SELECT conversation_id, message_id, silver_batch_id, coalesce(competitor, concorrente_mencionado) AS concorrente_mencionado, veiculo_marca, veiculo_modelo, coalesce(year, veiculo_ano)::INT AS veiculo_ano, valor_pago_atual_brl, coalesce(claim, sinistro_historico) AS sinistro_historico
       FROM silver LEFT JOIN answers USING (message_body_masked)""",
     "reply_parse": f"""WITH t AS (SELECT *, (coalesce(length(message_id), 0) + ascii(right(message_id, 1))) % 4 IN (0, 1) AS whole FROM silver)
       SELECT conversation_id, message_id, silver_batch_id, {', '.join(f"CASE WHEN whole THEN nullif({_strip(c)}, '') END AS {c}" for c in ("veiculo_marca", "veiculo_modelo", "concorrente_mencionado"))},
