@@ -197,6 +197,13 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.squeeze(m, axis) + np.log(np.exp(x - m).sum(axis))
 
 
+def _add_rows(to: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """Adds each row of `values` to row `at` of `to`; `at` is sorted."""
+    if len(at):
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(at)) + 1])
+        to[at[starts]] += np.add.reduceat(values, starts, axis=0)
+
+
 def train(rows: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = EPOCHS, rate: float = 0.05, decay: float = 1e-5, seed: int = 3) -> Crf:
     """Maximum likelihood by mini-batches with Adam; features seen fewer than three times are dropped."""
     sequences = []
@@ -244,7 +251,7 @@ def train(rows: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = EPOC
             for r, x in enumerate(chosen):
                 gold[r, : len(x[2])] = x[2]
             e = np.zeros((n * t, _K), np.float32)
-            np.add.at(e, cell, w[feat])
+            _add_rows(e, cell, w[feat])
             e = e.reshape(n, t, _K)
             trans = tr + FORBIDDEN
             alpha = np.zeros((n, t, _K), np.float32)
@@ -260,7 +267,8 @@ def train(rows: list[tuple[str, list[tuple[int, int, str]]]], epochs: int = EPOC
             p = np.exp(alpha + beta - z[:, None, None]) * mask[..., None]
             p[np.arange(n)[:, None], np.arange(t)[None], gold] -= mask
             g = np.zeros_like(w)
-            np.add.at(g, feat, p.reshape(n * t, _K)[cell])
+            order_ = np.argsort(feat, kind="stable")
+            _add_rows(g, feat[order_], p.reshape(n * t, _K)[cell[order_]])
             gt = np.zeros_like(tr)
             for i in range(1, t):
                 live = length > i
