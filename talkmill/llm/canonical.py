@@ -26,8 +26,8 @@ from talkmill.session import written
 #: A value means an entry if at least this share of the entry's weight is found.
 LEAST = 0.4
 UNMATCHED = -1
-#: Reference rows (of its vocabulary or index) up to which they are broadcast.
-REFERENCE_ROWS = 200_000
+#: Rows of the reference index up to which it's broadcast, and with it the keys of its words (some fifty of each).
+REFERENCE_ROWS = 20_000
 _INNER = re.compile(r"(?<=\w)[.\-'’](?=\w)")
 _WORD = re.compile(r"[^\W_]+")
 

@@ -245,12 +245,11 @@ def residue(documents: DataFrame, key: str = "doc_id", text: str = "text", sourc
         distinct.where("bare AND v = '?'").select("u", F.explode(F.array_distinct("words")).alias("word")).join(own.withColumn("own", F.lit(1)), "word", "left")
         .groupBy("u").agg((F.sum(F.coalesce("own", F.lit(0))) / F.count(F.lit(1))).alias("part")).where(F.col("part") >= OWN_IN_UNIT).select("u", F.lit(True).alias("filler"))
     )
-    sums = distinct.agg(F.count_if(F.col("k") > 0).alias("all_ours"), F.count_if(F.col("r") == 0).alias("all_others"))
-    here = (F.col("ours") - 1) / F.greatest(F.col("all_ours") - 1, F.lit(1))
-    there = F.col("others") / F.greatest("all_others", F.lit(1))
+    all_ours, all_others = distinct.agg(F.count_if(F.col("k") > 0), F.count_if(F.col("r") == 0)).first()  # two numbers
+    here = (F.col("ours") - 1) / F.lit(max(all_ours - 1, 1))
+    there = F.col("others") / F.lit(max(all_others, 1))
     odds = F.log((here + RARE) / (there + RARE))
-    # units of responses are few; what is broadcast has at most RANGES rows, and one row
-    table = F.broadcast(_odds(words).crossJoin(F.broadcast(sums)))
+    table = F.broadcast(_odds(words))  # at most RANGES rows
     scored = distinct.where("v = '?' AND k > 0").select("u", F.explode(F.array_distinct("words")).alias("word")).withColumn("spot", _spot("word")).join(table, "spot").groupBy("u").agg((F.sum(odds + OPEN_WORD) + OPEN_START).alias("score"))
     settled = (
         held.where("v = '?'").join(filler, "u", "left").join(scored, "u", "left")
