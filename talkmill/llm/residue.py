@@ -66,7 +66,7 @@ FILLER = re.compile(
 #: words of other languages too: they count, but don't tell filler by themselves.
 LATIN = frozenset("lorem ipsum amet consectetur consectetuer adipiscing elit eiusmod tempor incididunt ut labore et dolore aliqua enim veniam nostrud exercitation ullamco laboris nisi aliquip commodo consequat duis aute irure reprehenderit voluptate velit esse cillum eu fugiat nulla pariatur excepteur sint occaecat cupidatat proident sunt deserunt mollit anim laborum vestibulum pellentesque curabitur suspendisse vivamus maecenas praesent phasellus aliquam faucibus tincidunt sagittis ultrices ultricies scelerisque sollicitudin ullamcorper vulputate dapibus tristique lobortis malesuada bibendum condimentum fermentum hendrerit imperdiet interdum lacinia mauris nullam quisque rhoncus semper sodales varius viverra volutpat".split())
 LATIN_SHARED = frozenset("dolor sit sed do magna ad minim quis ex ea in non qui culpa officia id est ac at vel a eu et ut nec nisi esse sint enim velit semper tempor labore anim varius nulla".split())
-_OWN_LATIN = LATIN - LATIN_SHARED
+_OWN_LATIN, _ALL_LATIN = LATIN - LATIN_SHARED, LATIN | LATIN_SHARED
 CHROME = re.compile(r"^(?:(?:menu|entrar|ajuda|inicio|home|login|sair|contato|busca|sobre|faq|help|search|about|contact)\b[ |>·•]*){2,}|^(?:ref|codigo de referencia|id da requisicao|request id|incidente|incident|trace id)\b|todos os direitos reservados|all rights reserved|politica de privacidade|privacy policy|termos de uso|terms of (?:use|service)|fale conosco|contact us|voltar ao inicio|back to (?:home|top)|\bnginx\b|\bapache\b|fale com o suporte|se o problema continuar|copyright|\(c\) ?\d{4}")
 TRAIL = re.compile(r"(?:[a-z]{2,20}(?: [a-z]{2,20})? \| ){2,}|^(?:[\w ]{2,20} ?[|>·•]){1,8} ?[\w ]{2,24}$")
 #: Terms of a person's report. A unit with one of them tells of something and is content.
@@ -137,7 +137,7 @@ def covered(u: str, *terms: re.Pattern[str], among: frozenset[str] = frozenset()
 def judge(u: str) -> str:
     """'r' for a response, 'c' for what a person tells, 'f' for page furniture, '?' if the unit alone doesn't tell."""
     words = _WORD.findall(u)
-    latin = frozenset() if _OWN_LATIN.isdisjoint(words) else LATIN | LATIN_SHARED
+    latin = frozenset() if _OWN_LATIN.isdisjoint(words) else _ALL_LATIN
     told = TOLD - latin if latin else TOLD
     if not told.isdisjoint(words):
         if MACHINES.isdisjoint(words):

@@ -16,12 +16,26 @@ INVISIBLE = regex.compile(r"[[\p{Cc}\p{Cf}]--[\n\t]]+", regex.V1)
 MARKS = regex.compile(r"\p{M}+")
 
 
+_COMMON_MARKS = re.compile("[\u0300-\u036f]+")
+
+
 def plain(text: str) -> str:
-    """Compatibility form without format and control characters, markup tags, special-token strings and entities; newlines stay."""
-    text = html.unescape(text)
+    """Compatibility form without format and control characters, markup tags, special-token strings and entities; newlines stay.
+
+    Each step is skipped where a cheap test shows that it has nothing to do.
+    """
+    if "&" in text:
+        text = html.unescape(text)
     if not text.isascii():
         text = unicodedata.normalize("NFKC", text)
-    text = SPECIAL.sub("", TAGS.sub("", text.replace("\r\n", "\n").replace("\r", "\n")))
+    if "\r" in text:
+        text = text.replace("\r\n", "\n").replace("\r", "\n")
+    if "<" in text:
+        text = TAGS.sub("", text)
+    if "<" in text or "[" in text:
+        text = SPECIAL.sub("", text)
+    if text.isprintable() or text.replace("\n", "").replace("\t", "").isprintable():
+        return text
     return INVISIBLE.sub("", text)
 
 
@@ -29,4 +43,5 @@ def folded(text: str) -> str:
     """Lower case without accents."""
     if text.isascii():
         return text.lower()
-    return MARKS.sub("", unicodedata.normalize("NFKD", text)).lower()
+    text = _COMMON_MARKS.sub("", unicodedata.normalize("NFKD", text))
+    return (text if text.isascii() else MARKS.sub("", text)).lower()
